@@ -17,8 +17,9 @@ experiment_assignments  users x experiment windows, md5 inclusion + split
 
 from __future__ import annotations
 
+import hashlib
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from churnlab.functions.dates import add_days, add_days_ts, date_lit, day_diff
 from churnlab.operators.core import lookup_join
 from churnlab.plans.experiments import assign_variants, experiment_eligibility, experiment_variants
+from churnlab.session import ensure_checkpoint_dir
 from churnlab.settings import FIXTURE_SETTINGS, Settings
 from churnlab.sources.lookups import (
     FIXTURE_CHANNEL_CAC,
@@ -251,3 +253,55 @@ def load_fixture_sources(spark: SparkSession, sf_dir: str, settings: Settings =
         settings=settings,
         raw=raw,
     )
+
+
+# Derived source tables written once per session (the "load" step). Inline
+# lookups stay literal.
+MATERIALIZED = (
+    "users",
+    "subscriptions",
+    "events",
+    "sessions",
+    "content_catalog",
+    "content_views",
+    "experiment_assignments",
+)
+
+_SESSION_SOURCES: dict[tuple, Sources] = {}
+
+
+def materialize_sources(src: Sources, folder: str) -> Sources:
+    """Write the derived source tables as parquet under ``folder`` and read
+    them back, like loading raw files into warehouse tables before modelling.
+
+    The written tables cut the adapter lineage (a lost executor recomputes
+    from the files, not from the test tables) and give scans one task per
+    file. When a table comes from fewer input files than there are task slots
+    (the test tables are single files) it is spread over the slots first; a
+    table read from many files is written as it is, without a shuffle.
+    """
+    spark = src.spark
+    slots = spark.sparkContext.defaultParallelism
+    loaded = {}
+    for name in MATERIALIZED:
+        df = getattr(src, name)
+        if len(df.inputFiles()) < slots:
+            df = df.repartition(slots)
+        path = f"{folder.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        loaded[name] = spark.read.parquet(path)
+    return replace(src, **loaded)
+
+
+def session_sources(spark: SparkSession, sf_dir: str, settings: Settings = FIXTURE_SETTINGS) -> Sources:
+    """Sources for ``sf_dir``, derived and written once per Spark application
+    into the shared checkpoint folder (``spark.checkpoint.dir``), then reused
+    by every query of the session."""
+    app = spark.sparkContext.applicationId
+    key = (app, os.path.abspath(sf_dir), settings)
+    if key not in _SESSION_SOURCES:
+        base = ensure_checkpoint_dir(spark)
+        tag = hashlib.md5(repr(key).encode()).hexdigest()[:12]
+        folder = f"{base.rstrip('/')}/churnlab-sources/{app}/{tag}"
+        _SESSION_SOURCES[key] = materialize_sources(load_fixture_sources(spark, sf_dir, settings), folder)
+    return _SESSION_SOURCES[key]

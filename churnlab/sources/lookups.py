@@ -10,6 +10,7 @@ import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DecimalType,
@@ -73,13 +74,29 @@ EXPERIMENT_INCLUSION_PCT = 80
 # ---------------------------------------------------------------------------
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A small table built from literals.
+
+    The optimizer folds it into a local relation: no scan, no partitions to
+    schedule, and its size is known when planning (a bounded broadcast side).
+    """
+    def typed(value, f: StructField):
+        if isinstance(f.dataType, ArrayType):
+            return F.array(*[F.lit(v) for v in value]).cast(f.dataType).alias(f.name)
+        return F.lit(value).cast(f.dataType).alias(f.name)
+
+    structs = [F.struct(*[typed(v, f) for v, f in zip(row, schema.fields)]) for row in rows]
+    out = spark.range(1).select(F.inline(F.array(*structs)))
+    return out.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
 def plans_df(spark: SparkSession) -> DataFrame:
     rows = [(i, n, Decimal(p), b, s, r) for i, n, p, b, s, r in PLANS]
-    return spark.createDataFrame(rows, SCHEMAS["plans"])
+    return literal_table(spark, rows, SCHEMAS["plans"])
 
 
 def channel_cac_df(spark: SparkSession, rows: list[tuple[str, int]] | None = None) -> DataFrame:
-    return spark.createDataFrame(rows if rows is not None else CHANNEL_CAC, SCHEMAS["channel_cac"])
+    return literal_table(spark, rows if rows is not None else CHANNEL_CAC, SCHEMAS["channel_cac"])
 
 
 EXPERIMENT_DEF_SCHEMA = StructType(
@@ -108,7 +125,7 @@ def experiment_definitions_df(spark: SparkSession, defs: list[dict]) -> DataFram
         (d["experiment_id"], d["name"], d["start_date"], d["end_date"], list(d["variants"]))
         for d in defs
     ]
-    return spark.createDataFrame(rows, EXPERIMENT_DEF_SCHEMA)
+    return literal_table(spark, rows, EXPERIMENT_DEF_SCHEMA)
 
 
 def experiment_effects_df(spark: SparkSession, defs: list[dict]) -> DataFrame:
@@ -118,7 +135,7 @@ def experiment_effects_df(spark: SparkSession, defs: list[dict]) -> DataFrame:
         for d in defs
         for v, e in d["effect"].items()
     ]
-    return spark.createDataFrame(rows, EFFECT_SCHEMA)
+    return literal_table(spark, rows, EFFECT_SCHEMA)
 
 
 # Fixture lookups for the driver's test tables (FIXTURES.md section 2): the
