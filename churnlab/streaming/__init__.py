@@ -1,0 +1,8 @@
+"""Stream processing: intentionally empty.
+
+The analytics this package rebuilds are batch models over bounded tables;
+"streaming" in their domain means video streaming. There is no watermark,
+event-time window, state or trigger to reproduce, so nothing here runs as a
+Structured Streaming query. Incremental refresh is a matter of re-running the
+batch models (marts are rebuilt whole, idempotently; see plans.pipeline).
+"""
