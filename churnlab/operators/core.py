@@ -105,14 +105,16 @@ def retention_flags(
     key: str = "user_id",
     anchor_col: str = "signup_date",
     date_col: str = "session_date",
+    activity_is_daily: bool = False,
 ) -> DataFrame:
     """(key, flag...) - 1 when any activity falls in [anchor+lo, anchor+hi) days.
 
     Activity is cut to distinct key-days first (map-side combined), so a user
-    contributes at most one row per calendar day to the join. Entities without
-    activity get 0.
+    contributes at most one row per calendar day to the join; pass
+    ``activity_is_daily=True`` when it already has that grain (e.g. the
+    engagement mart) to skip the cut. Entities without activity get 0.
     """
-    days = activity_days(activity, key, date_col)
+    days = activity.select(key, date_col) if activity_is_daily else activity_days(activity, key, date_col)
     anchors = entities.select(key, anchor_col)
     joined = anchors.join(days, on=key, how="left")
     d = F.col(date_col)

@@ -90,12 +90,16 @@ def user_conversion(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def user_outcomes(users: DataFrame, subscriptions: DataFrame, sessions: DataFrame) -> DataFrame:
+def user_outcomes(
+    users: DataFrame, subscriptions: DataFrame, sessions: DataFrame, activity_is_daily: bool = False
+) -> DataFrame:
     """One row per user: conversion, max MRR, D7 (days 7-13) and D30 (days
     30-59) retention. Each side is aggregated per user before the join, so
-    subscriptions and sessions never multiply each other."""
+    subscriptions and sessions never multiply each other. ``sessions`` may be
+    any (user_id, session_date) activity; with ``activity_is_daily`` it is
+    already one row per user-day (the engagement mart) and is used as is."""
     conv = user_conversion(subscriptions)
-    ret = retention_flags(users, sessions, RETENTION_WINDOWS)
+    ret = retention_flags(users, sessions, RETENTION_WINDOWS, activity_is_daily=activity_is_daily)
     out = users.select(
         "user_id", "signup_date", "signup_timestamp", *USER_CONTEXT
     ).join(conv, "user_id", "left").join(ret, "user_id", "left")

@@ -40,12 +40,18 @@ class PipelineResult:
     quality: DataFrame | None = None
 
 
-def build_marts(s: Sources) -> dict[str, DataFrame]:
+def build_marts(s: Sources, engagement: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four marts. When the engagement mart is already written, retention
+    for the experiments mart reads its (user_id, session_date) rows - one per
+    user-day - instead of scanning and de-duplicating all sessions again."""
     week = s.settings.week_start
-    outcomes = M.user_outcomes(s.users, s.subscriptions, s.sessions)
+    if engagement is not None:
+        outcomes = M.user_outcomes(s.users, s.subscriptions, engagement, activity_is_daily=True)
+    else:
+        outcomes = M.user_outcomes(s.users, s.subscriptions, s.sessions)
     return {
         "mart_acquisition": M.mart_acquisition(s.users, s.events, s.subscriptions, s.plans, s.channel_cac, week),
-        "mart_engagement": M.mart_engagement(s.users, s.sessions, week),
+        "mart_engagement": engagement if engagement is not None else M.mart_engagement(s.users, s.sessions, week),
         "mart_economics": M.mart_economics(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings),
         "mart_experiments": M.mart_experiments(s.experiment_assignments, s.experiments, outcomes, week),
     }
@@ -104,10 +110,15 @@ def run_pipeline(
     staging = {f"stg_{t}": conform(df, t) for t, df in s.tables().items()}
     register_views(staging)
 
-    for name, df in build_marts(s).items():
+    def materialise(name: str, df: DataFrame) -> DataFrame:
         path = os.path.join(output_dir, name)
         write_table(df, path, fmt=fmt, partition_by=MART_PARTITIONS[name])
-        res.marts[name] = spark.read.format(fmt).load(path)
+        return spark.read.format(fmt).load(path)
+
+    # Engagement first: the experiments mart reuses its user-day rows.
+    engagement = materialise("mart_engagement", M.mart_engagement(s.users, s.sessions, s.settings.week_start))
+    for name, df in build_marts(s, engagement).items():
+        res.marts[name] = engagement if name == "mart_engagement" else materialise(name, df)
     register_views(res.marts)
 
     for name, df in build_metrics(s, res.marts).items():

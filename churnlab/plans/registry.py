@@ -100,6 +100,7 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "vw_experiments": lambda s: _exp(s, "monday"),
     # plain operator families
     "load_audit": lambda s: load_audit(s.tables()),
+    "check_row_counts": lambda s: load_audit(s.tables()),
     "range_join_months": lambda s: M.range_join_months(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings),
     "orphan_keys": lambda s: anti_orphans(s.subscriptions.select("subscription_id", "user_id"), s.users, "user_id"),
     "users_with_paid_sub": lambda s: s.users.select("user_id", "signup_date", "acquisition_channel").join(

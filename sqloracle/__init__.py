@@ -598,6 +598,7 @@ def queries() -> dict[str, str]:
     q["vw_experiments"] = W("SELECT * FROM m_exp_mon", "m_exp_mon")
     # plain operator families
     q["load_audit"] = _load_audit()
+    q["check_row_counts"] = _load_audit()
     q["range_join_months"] = W("SELECT subscription_id, active_month, tenure_months FROM m_eco", "m_eco")
     q["orphan_keys"] = W(
         "SELECT s.subscription_id, s.user_id FROM f_subscriptions s WHERE s.user_id IS NOT NULL "

@@ -126,3 +126,21 @@ def test_invariants_on_test_tables(small_sources):
     eco = M.mart_economics(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings)
     agg = eco.agg(F.min("tenure_months"), F.max("active_month")).first()
     assert agg[0] >= 0 and agg[1] <= s.settings.cap
+
+
+def test_experiment_variants_and_eligibility(spark):
+    from churnlab.plans.experiments import experiment_eligibility, experiment_variants
+    from churnlab.sources.lookups import FIXTURE_EXPERIMENTS, experiment_definitions_df
+
+    exps = experiment_variants(experiment_definitions_df(spark, FIXTURE_EXPERIMENTS))
+    rows = sorted((r.experiment_id, r.variant, r.is_control) for r in exps.collect())
+    assert rows == [("exp_a", "control_a", True), ("exp_a", "treatment_a", False),
+                    ("exp_b", "control_b", True), ("exp_b", "treatment_b", False)]
+    users = spark.createDataFrame(
+        [(1, D(1995, 6, 1), T(1995, 6, 1)), (2, D(1995, 12, 31), T(1995, 12, 31)),
+         (3, D(1995, 12, 31), T(1995, 12, 31, 9)), (4, D(1995, 5, 31), T(1995, 5, 31, 23))],
+        "user_id bigint, signup_date date, signup_timestamp timestamp_ntz",
+    )
+    got = sorted((r.experiment_id, r.user_id) for r in experiment_eligibility(users, exps).collect())
+    # closed on timestamps: the last day counts only at midnight
+    assert got == [("exp_a", 1), ("exp_a", 2)]
