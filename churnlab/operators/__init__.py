@@ -11,4 +11,5 @@ from churnlab.operators.core import (  # noqa: F401
     lookup_join,
     retention_flags,
     stage_flags,
+    union_all,
 )

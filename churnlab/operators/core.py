@@ -178,6 +178,20 @@ def active_months(
     return df.select("*", F.explode(month_series(lo, hi)).alias(out_col))
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """UNION ALL by column name of many frames, combined as a balanced tree so
+    each analysis step sees log-depth plans instead of an ever longer chain."""
+    frames = list(frames)
+    if not frames:
+        raise ValueError("union_all needs at least one frame")
+    while len(frames) > 1:
+        paired = [a.unionByName(b) for a, b in zip(frames[0::2], frames[1::2])]
+        if len(frames) % 2:
+            paired.append(frames[-1])
+        frames = paired
+    return frames[0]
+
+
 def anti_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-null key has no parent (left anti join)."""
     parent_key = parent_key or child_key

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.operators.core import anti_orphans
+from churnlab.operators.core import anti_orphans, union_all
 
 
 def check_unique(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
@@ -107,62 +107,86 @@ def _count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("violations"))
 
 
+def _report_rows(agg: DataFrame, table: str, items: list[tuple[str, str, str]]) -> DataFrame:
+    """Unpivot a one-row aggregate into (table_name, column_name, check_name,
+    violations) rows; ``items`` = (aggregate column, column name, check)."""
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(col_name).alias("column_name"),
+                F.lit(kind).alias("check_name"),
+                F.col(src).cast("bigint").alias("violations"),
+            )
+            for src, col_name, kind in items
+        ]
+    )
+    return agg.select(F.lit(table).alias("table_name"), F.explode(pairs).alias("p")).select(
+        "table_name", "p.column_name", "p.check_name", "p.violations"
+    )
+
+
+def _table_pass(df: DataFrame, table: str, unique: list[Check], nulls: list[str]) -> DataFrame:
+    """All unique and not-null checks of one table in one aggregation.
+
+    Without a unique check: one scan, no shuffle. With one: rows are grouped by
+    the key (map-side combined, so a hot key becomes a few partial rows) while
+    counting nulls per group; a second, global aggregate sums the null counts
+    and counts the keys seen more than once. One shuffle per table for all of
+    its unique and not-null checks.
+    """
+    if not unique:
+        agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(nulls)])
+        return _report_rows(agg, table, [(f"_null_{i}", c, "not_null") for i, c in enumerate(nulls)])
+    if len(unique) > 1:
+        raise ValueError(f"one unique check per table pass, got {len(unique)} for {table}")
+    keys = list(unique[0].column) if isinstance(unique[0].column, tuple) else [unique[0].column]
+    key_present = F.lit(True)
+    for k in keys:
+        key_present = key_present & F.col(k).isNotNull()
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(nulls)],
+    )
+    agg = per_key.agg(
+        F.count_if(key_present & (F.col("_n") > 1)).alias("_dup"),
+        *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"_null_{i}") for i in range(len(nulls))],
+    )
+    items = [("_dup", unique[0].column_name, "unique")] + [
+        (f"_null_{i}", c, "not_null") for i, c in enumerate(nulls)
+    ]
+    return _report_rows(agg, table, items)
+
+
 def quality_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: (table_name, column_name, check_name, violations).
 
     violations counts what the failing-rows query returns: duplicated key
     values (unique), null rows (not_null), distinct unaccepted values
-    (accepted_values), orphan rows (relationship).
+    (accepted_values), orphan rows (relationship). Unique and not-null checks
+    of a table share one pass over it, so each table (and each mart) is
+    computed once for them.
     """
+    per_table: dict[str, tuple[list[Check], list[str]]] = {}
     parts: list[DataFrame] = []
-    null_cols: dict[str, list[str]] = {}
     for chk in checks:
-        if chk.kind == "not_null":
-            null_cols.setdefault(chk.table, [])
-            if chk.column not in null_cols[chk.table]:
-                null_cols[chk.table].append(chk.column)
-    for table, cols in null_cols.items():
-        counts = null_counts(tables[table], cols)
-        parts.append(
-            counts.select(
-                F.lit(table).alias("table_name"),
-                "column_name",
-                F.lit("not_null").alias("check_name"),
-                F.col("violations").cast("bigint").alias("violations"),
-            )
-        )
-    for chk in checks:
-        if chk.kind == "not_null":
-            continue
-        df = tables[chk.table]
+        uniq, nulls = per_table.setdefault(chk.table, ([], []))
         if chk.kind == "unique":
-            bad = check_unique(df, chk.column)
+            uniq.append(chk)
+        elif chk.kind == "not_null":
+            if chk.column not in nulls:
+                nulls.append(chk.column)
         elif chk.kind == "accepted_values":
-            bad = check_accepted_values(df, chk.column, chk.values)
+            bad = check_accepted_values(tables[chk.table], chk.column, chk.values)
+            parts.append(_report_rows(_count_rows(bad), chk.table, [("violations", chk.column_name, chk.kind)]))
         elif chk.kind == "relationship":
-            parts.append(
-                orphan_count(df, chk.column, tables[chk.parent], chk.parent_column or chk.column).select(
-                    F.lit(chk.table).alias("table_name"),
-                    F.lit(chk.column_name).alias("column_name"),
-                    F.lit(chk.kind).alias("check_name"),
-                    F.col("violations").cast("bigint").alias("violations"),
-                )
-            )
-            continue
+            cnt = orphan_count(tables[chk.table], chk.column, tables[chk.parent], chk.parent_column or chk.column)
+            parts.append(_report_rows(cnt, chk.table, [("violations", chk.column_name, chk.kind)]))
         else:
             raise ValueError(f"unknown check {chk.kind!r}")
-        parts.append(
-            _count_rows(bad).select(
-                F.lit(chk.table).alias("table_name"),
-                F.lit(chk.column_name).alias("column_name"),
-                F.lit(chk.kind).alias("check_name"),
-                F.col("violations").cast("bigint").alias("violations"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    for table, (uniq, nulls) in per_table.items():
+        if uniq or nulls:
+            parts.append(_table_pass(tables[table], table, uniq, nulls))
+    return union_all(parts)
 
 
 def reference_suite(accepted_channels: Sequence[str], accepted_statuses: Sequence[str]) -> list[Check]:

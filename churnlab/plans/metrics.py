@@ -331,26 +331,31 @@ def experiment_significance(results: DataFrame, z_crit: float = 1.96) -> DataFra
 
 def kpi_tiles(acquisition: DataFrame, economics: DataFrame, engagement: DataFrame) -> DataFrame:
     """One row: users, paid users, conversion, the last active month's MRR and
-    subscriptions, and the last activity month's MAU. Each tile is a scalar
-    subquery over its mart."""
-    users = acquisition.select(F.count(F.lit(1))).scalar()
-    paid = acquisition.select(F.sum("reached_paid").cast("bigint")).scalar()
-    last_month = economics.select(F.max("active_month")).scalar()
-    last = economics.where(F.col("active_month") == last_month)
-    mrr = last.select(F.sum("mrr").cast("decimal(18,2)")).scalar()
-    subs = last.select(F.count(F.lit(1))).scalar()
-    last_session_month = engagement.select(F.max("session_month")).scalar()
-    mau = engagement.where(F.col("session_month") == last_session_month).select(
-        F.count_distinct("user_id")
-    ).scalar()
+    subscriptions, and the last activity month's MAU.
+
+    Each mart is reduced once to a small aggregate (one row, or one row per
+    month); the tiles are scalar subqueries over those, so the marts are not
+    scanned once per tile and identical subqueries are reused.
+    """
+    acq = acquisition.agg(
+        F.count(F.lit(1)).alias("users"), F.sum("reached_paid").cast("bigint").alias("paid")
+    )
+    monthly = economics.groupBy("active_month").agg(
+        F.sum("mrr").cast("decimal(18,2)").alias("mrr"), F.count(F.lit(1)).alias("subs")
+    )
+    last_eco = monthly.orderBy(F.col("active_month").desc()).limit(1)
+    mau = engagement.groupBy("session_month").agg(F.count_distinct("user_id").alias("mau"))
+    last_eng = mau.orderBy(F.col("session_month").desc()).limit(1)
+    users = acq.select("users").scalar()
+    paid = acq.select("paid").scalar()
     one = acquisition.sparkSession.range(1)
     return one.select(
         users.alias("total_users"),
         paid.alias("paid_users"),
         ratio(paid, users).alias("conversion_rate"),
-        last_month.alias("last_active_month"),
-        mrr.alias("mrr_last_month"),
-        subs.alias("active_subs_last_month"),
-        last_session_month.alias("last_session_month"),
-        mau.alias("mau_last_month"),
+        last_eco.select("active_month").scalar().alias("last_active_month"),
+        last_eco.select("mrr").scalar().alias("mrr_last_month"),
+        last_eco.select("subs").scalar().alias("active_subs_last_month"),
+        last_eng.select("session_month").scalar().alias("last_session_month"),
+        last_eng.select("mau").scalar().alias("mau_last_month"),
     )

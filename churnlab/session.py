@@ -23,6 +23,10 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # Skip recording the Python call site of every DataFrame/Column call (a
+    # debugging aid for error messages): it costs several JVM round trips per
+    # call and dominates the time to build large plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
