@@ -334,28 +334,33 @@ def kpi_tiles(acquisition: DataFrame, economics: DataFrame, engagement: DataFram
     subscriptions, and the last activity month's MAU.
 
     Each mart is reduced once to a small aggregate (one row, or one row per
-    month); the tiles are scalar subqueries over those, so the marts are not
-    scanned once per tile and identical subqueries are reused.
+    month, then the latest month) and read through a single struct-valued
+    scalar subquery, so every mart is scanned once for all of its tiles.
     """
-    acq = acquisition.agg(
-        F.count(F.lit(1)).alias("users"), F.sum("reached_paid").cast("bigint").alias("paid")
-    )
+    acq = acquisition.select(
+        F.struct(
+            F.count(F.lit(1)).alias("users"), F.sum("reached_paid").cast("bigint").alias("paid")
+        )
+    ).scalar()
     monthly = economics.groupBy("active_month").agg(
         F.sum("mrr").cast("decimal(18,2)").alias("mrr"), F.count(F.lit(1)).alias("subs")
     )
-    last_eco = monthly.orderBy(F.col("active_month").desc()).limit(1)
+    eco = (
+        monthly.orderBy(F.col("active_month").desc())
+        .limit(1)
+        .select(F.struct("active_month", "mrr", "subs"))
+        .scalar()
+    )
     mau = engagement.groupBy("session_month").agg(F.count_distinct("user_id").alias("mau"))
-    last_eng = mau.orderBy(F.col("session_month").desc()).limit(1)
-    users = acq.select("users").scalar()
-    paid = acq.select("paid").scalar()
+    eng = mau.orderBy(F.col("session_month").desc()).limit(1).select(F.struct("session_month", "mau")).scalar()
     one = acquisition.sparkSession.range(1)
     return one.select(
-        users.alias("total_users"),
-        paid.alias("paid_users"),
-        ratio(paid, users).alias("conversion_rate"),
-        last_eco.select("active_month").scalar().alias("last_active_month"),
-        last_eco.select("mrr").scalar().alias("mrr_last_month"),
-        last_eco.select("subs").scalar().alias("active_subs_last_month"),
-        last_eng.select("session_month").scalar().alias("last_session_month"),
-        last_eng.select("mau").scalar().alias("mau_last_month"),
+        acq["users"].alias("total_users"),
+        acq["paid"].alias("paid_users"),
+        ratio(acq["paid"], acq["users"]).alias("conversion_rate"),
+        eco["active_month"].alias("last_active_month"),
+        eco["mrr"].alias("mrr_last_month"),
+        eco["subs"].alias("active_subs_last_month"),
+        eng["session_month"].alias("last_session_month"),
+        eng["mau"].alias("mau_last_month"),
     )
