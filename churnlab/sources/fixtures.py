@@ -296,8 +296,16 @@ def materialize_sources(src: Sources, folder: str) -> Sources:
 def session_sources(spark: SparkSession, sf_dir: str, settings: Settings = FIXTURE_SETTINGS) -> Sources:
     """Sources for ``sf_dir``, derived and written once per Spark application
     into the shared checkpoint folder (``spark.checkpoint.dir``), then reused
-    by every query of the session."""
-    app = spark.sparkContext.applicationId
+    by every query of the session.
+
+    A session that offers no JVM-side context to write through (e.g. a remote
+    client session) gets the lazily derived sources instead; results are the
+    same, only recomputed per query.
+    """
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext on this kind of session
+        return load_fixture_sources(spark, sf_dir, settings)
     key = (app, os.path.abspath(sf_dir), settings)
     if key not in _SESSION_SOURCES:
         base = ensure_checkpoint_dir(spark)
