@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.functions.scalar import ratio
-from churnlab.operators.core import first_per_key
+from churnlab.operators.core import first_per_key, lookup_join
 
 
 def content_completion(views: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -23,7 +23,9 @@ def content_completion(views: DataFrame, catalog: DataFrame) -> DataFrame:
         F.sum("watch_percentage").alias("watch_sum"),
         F.count("watch_percentage").alias("watch_n"),
     )
-    j = per_item.join(catalog.select("content_id", "genre", "content_type"), "content_id", "inner")
+    # The catalog is broadcast only after a bounded size check; a large one is
+    # a shuffle join on content_id, where AQE splits a hot title's partition.
+    j = lookup_join(per_item, catalog.select("content_id", "genre", "content_type"), "content_id", how="inner")
     g = j.groupBy("genre", "content_type").agg(
         F.sum("views").alias("views"),
         F.sum("completed_views").alias("completed_views"),
@@ -43,7 +45,7 @@ def content_completion(views: DataFrame, catalog: DataFrame) -> DataFrame:
 def top_genre(views: DataFrame, catalog: DataFrame) -> DataFrame:
     """Most-watched genre per user (most views; ties to the first genre name)."""
     per_item = views.groupBy("user_id", "content_id").agg(F.count(F.lit(1)).alias("n"))
-    j = per_item.join(catalog.select("content_id", "genre"), "content_id", "inner")
+    j = lookup_join(per_item, catalog.select("content_id", "genre"), "content_id", how="inner")
     per_genre = j.groupBy("user_id", "genre").agg(F.sum("n").alias("views"))
     top = first_per_key(per_genre, ["user_id"], [F.col("views").desc(), F.col("genre").asc()])
     return top.select("user_id", F.col("genre").alias("top_genre"))

@@ -103,8 +103,10 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "check_row_counts": lambda s: load_audit(s.tables()),
     "range_join_months": lambda s: M.range_join_months(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings),
     "orphan_keys": lambda s: anti_orphans(s.subscriptions.select("subscription_id", "user_id"), s.users, "user_id"),
+    # Paying user ids are de-duplicated (map-side) before the semi join, so a
+    # user with very many subscriptions is one row on the probe side.
     "users_with_paid_sub": lambda s: s.users.select("user_id", "signup_date", "acquisition_channel").join(
-        s.subscriptions.where("converted_to_paid").select("user_id"), "user_id", "left_semi"
+        s.subscriptions.where("converted_to_paid").select("user_id").distinct(), "user_id", "left_semi"
     ),
     # data-quality checks
     "check_unique": lambda s: C.check_unique(s.sessions, "session_id"),
