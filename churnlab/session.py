@@ -1,4 +1,4 @@
-"""SparkSession construction and lineage-cutting helpers.
+"""SparkSession construction and the shared checkpoint folder.
 
 Operators never create a session; callers pass one in. ``build_session`` is
 for tests, the bench and local runs. On a cluster the session comes from the
@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every session should carry: adaptive execution re-plans joins and
 # coalesces partitions from runtime sizes, splits skewed join partitions, and
@@ -62,24 +62,19 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local runs and
-    tests) is ``fallback`` - or a fresh scratch folder - used and recorded in
-    the session, so later calls agree.
+    The cluster's setting always wins. Only when it is unset *and* Spark runs
+    in local mode (tests, local runs) is ``fallback`` - or a fresh scratch
+    folder - used and recorded in the session, so later calls agree. On a
+    cluster an unset folder is an error: a machine-local folder would not be
+    visible to the executors.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = fallback or tempfile.mkdtemp(prefix="churnlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
     return configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Survives executor loss (unlike a local checkpoint, which is never used).
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
