@@ -80,6 +80,9 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: StructType) ->
     The optimizer folds it into a local relation: no scan, no partitions to
     schedule, and its size is known when planning (a bounded broadcast side).
     """
+    if not rows:
+        return spark.createDataFrame([], schema)
+
     def typed(value, f: StructField):
         if isinstance(f.dataType, ArrayType):
             return F.array(*[F.lit(v) for v in value]).cast(f.dataType).alias(f.name)
