@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -268,6 +269,7 @@ MATERIALIZED = (
 )
 
 _SESSION_SOURCES: dict[tuple, Sources] = {}
+_SESSION_LOCK = threading.Lock()
 
 
 def materialize_sources(src: Sources, folder: str) -> Sources:
@@ -307,9 +309,10 @@ def session_sources(spark: SparkSession, sf_dir: str, settings: Settings = FIXTU
     except Exception:  # noqa: BLE001 - no SparkContext on this kind of session
         return load_fixture_sources(spark, sf_dir, settings)
     key = (app, os.path.abspath(sf_dir), settings)
-    if key not in _SESSION_SOURCES:
-        base = ensure_checkpoint_dir(spark)
-        tag = hashlib.md5(repr(key).encode()).hexdigest()[:12]
-        folder = f"{base.rstrip('/')}/churnlab-sources/{app}/{tag}"
-        _SESSION_SOURCES[key] = materialize_sources(load_fixture_sources(spark, sf_dir, settings), folder)
-    return _SESSION_SOURCES[key]
+    with _SESSION_LOCK:  # queries started from several threads write once
+        if key not in _SESSION_SOURCES:
+            base = ensure_checkpoint_dir(spark)
+            tag = hashlib.md5(repr(key).encode()).hexdigest()[:12]
+            folder = f"{base.rstrip('/')}/churnlab-sources/{app}/{tag}"
+            _SESSION_SOURCES[key] = materialize_sources(load_fixture_sources(spark, sf_dir, settings), folder)
+        return _SESSION_SOURCES[key]
