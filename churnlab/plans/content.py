@@ -53,23 +53,27 @@ def top_genre(views: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def retention_by_segment(outcomes: DataFrame, views: DataFrame, catalog: DataFrame) -> DataFrame:
     """D7 and D30 retention rates by primary device and by each user's
-    most-watched genre: (segment_type, segment, users, d7_rate, d30_rate)."""
+    most-watched genre: (segment_type, segment, users, d7_rate, d30_rate).
 
-    def rates(df: DataFrame, col: str, kind: str) -> DataFrame:
-        g = df.groupBy(F.col(col).alias("segment")).agg(
-            F.count(F.lit(1)).alias("users"),
-            F.sum("retained_d7").cast("bigint").alias("_d7"),
-            F.sum("retained_d30").cast("bigint").alias("_d30"),
-        )
-        return g.select(
-            F.lit(kind).alias("segment_type"),
-            "segment",
-            "users",
-            ratio(F.col("_d7"), F.col("users")).alias("d7_rate"),
-            ratio(F.col("_d30"), F.col("users")).alias("d30_rate"),
-        )
-
-    o = outcomes.select("user_id", "primary_device", "retained_d7", "retained_d30")
-    by_device = rates(o, "primary_device", "primary_device")
-    by_genre = rates(o.join(top_genre(views, catalog), "user_id", "inner"), "top_genre", "top_genre")
-    return by_device.unionByName(by_genre)
+    One pass over the outcomes: each user carries its top genre (null when it
+    watched nothing), and grouping sets count by device and by genre at once.
+    Users without a top genre are left out of the genre rows only.
+    """
+    o = outcomes.select("user_id", "primary_device", "retained_d7", "retained_d30").join(
+        top_genre(views, catalog), "user_id", "left"
+    )
+    g = o.groupingSets([["primary_device"], ["top_genre"]], "primary_device", "top_genre").agg(
+        F.count(F.lit(1)).alias("users"),
+        F.sum("retained_d7").cast("bigint").alias("_d7"),
+        F.sum("retained_d30").cast("bigint").alias("_d30"),
+        F.grouping("primary_device").alias("_by_genre"),
+    )
+    by_genre = F.col("_by_genre") == 1
+    g = g.where(~by_genre | F.col("top_genre").isNotNull())
+    return g.select(
+        F.when(by_genre, F.lit("top_genre")).otherwise(F.lit("primary_device")).alias("segment_type"),
+        F.when(by_genre, F.col("top_genre")).otherwise(F.col("primary_device")).alias("segment"),
+        "users",
+        ratio(F.col("_d7"), F.col("users")).alias("d7_rate"),
+        ratio(F.col("_d30"), F.col("users")).alias("d30_rate"),
+    )

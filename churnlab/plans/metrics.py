@@ -10,7 +10,7 @@ depend on summation order; a zero denominator gives null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab.functions.dates import month_start
@@ -110,20 +110,20 @@ def cohort_retention(engagement: DataFrame, first_sessions: DataFrame) -> DataFr
 
 def active_users(engagement: DataFrame) -> DataFrame:
     """(grain, period_start, active_users) for day, week and month grains.
-    The engagement mart is one row per user-day, so DAU is a row count."""
-    day = engagement.groupBy(F.col("session_date").alias("period_start")).agg(
-        F.count(F.lit(1)).alias("active_users")
-    )
-    week = engagement.groupBy(F.col("session_week").alias("period_start")).agg(
-        F.count_distinct("user_id").alias("active_users")
-    )
-    month = engagement.groupBy(F.col("session_month").alias("period_start")).agg(
-        F.count_distinct("user_id").alias("active_users")
-    )
-    return (
-        day.select(F.lit("day").alias("grain"), "period_start", "active_users")
-        .unionByName(week.select(F.lit("week").alias("grain"), "period_start", "active_users"))
-        .unionByName(month.select(F.lit("month").alias("grain"), "period_start", "active_users"))
+
+    One pass: grouping sets over day, week and month with a distinct user
+    count (the mart is one row per user-day, so the day count is DAU). The
+    mart is computed once instead of once per grain.
+    """
+    g = engagement.groupingSets(
+        [["session_date"], ["session_week"], ["session_month"]], "session_date", "session_week", "session_month"
+    ).agg(F.count_distinct("user_id").alias("active_users"), F.grouping("session_date").alias("_gd"),
+          F.grouping("session_week").alias("_gw"))
+    grain = F.when(F.col("_gd") == 0, F.lit("day")).when(F.col("_gw") == 0, F.lit("week")).otherwise(F.lit("month"))
+    return g.select(
+        grain.alias("grain"),
+        F.coalesce("session_date", "session_week", "session_month").alias("period_start"),
+        "active_users",
     )
 
 
@@ -276,15 +276,24 @@ def experiment_results(experiments_mart: DataFrame) -> DataFrame:
 
 
 def _with_control(results: DataFrame) -> DataFrame:
-    control = results.where(F.col("is_control")).select(
-        "experiment_id",
-        F.col("measured_users").alias("control_users"),
-        F.col("conversions").alias("control_conversions"),
-        F.col("conversion_rate").alias("control_conversion_rate"),
-        F.col("d30_rate").alias("control_d30_rate"),
+    """Non-control variant rows with their experiment's control figures beside
+    them: a window over the few variant rows of each experiment (no self
+    join, so the results are computed once). Experiments without a control
+    variant have nothing to compare with and give no rows."""
+    w = Window.partitionBy("experiment_id")
+
+    def control(col: str) -> Column:
+        return F.max(F.when(F.col("is_control"), F.col(col))).over(w)
+
+    out = results.select(
+        "*",
+        F.max(F.col("is_control").cast("int")).over(w).alias("_has_control"),
+        control("measured_users").alias("control_users"),
+        control("conversions").alias("control_conversions"),
+        control("conversion_rate").alias("control_conversion_rate"),
+        control("d30_rate").alias("control_d30_rate"),
     )
-    treated = results.where(~F.col("is_control"))
-    return treated.join(control, "experiment_id", "inner")
+    return out.where(~F.col("is_control") & (F.col("_has_control") == 1)).drop("_has_control")
 
 
 def experiment_lift(results: DataFrame) -> DataFrame:
@@ -353,14 +362,15 @@ def kpi_tiles(acquisition: DataFrame, economics: DataFrame, engagement: DataFram
     )
     mau = engagement.groupBy("session_month").agg(F.count_distinct("user_id").alias("mau"))
     eng = mau.orderBy(F.col("session_month").desc()).limit(1).select(F.struct("session_month", "mau")).scalar()
-    one = acquisition.sparkSession.range(1)
-    return one.select(
-        acq["users"].alias("total_users"),
-        acq["paid"].alias("paid_users"),
-        ratio(acq["paid"], acq["users"]).alias("conversion_rate"),
-        eco["active_month"].alias("last_active_month"),
-        eco["mrr"].alias("mrr_last_month"),
-        eco["subs"].alias("active_subs_last_month"),
-        eng["session_month"].alias("last_session_month"),
-        eng["mau"].alias("mau_last_month"),
+    # Each subquery appears once; the tiles are read from its struct after.
+    tiles = acquisition.sparkSession.range(1).select(acq.alias("a"), eco.alias("e"), eng.alias("g"))
+    return tiles.select(
+        F.col("a.users").alias("total_users"),
+        F.col("a.paid").alias("paid_users"),
+        ratio(F.col("a.paid"), F.col("a.users")).alias("conversion_rate"),
+        F.col("e.active_month").alias("last_active_month"),
+        F.col("e.mrr").alias("mrr_last_month"),
+        F.col("e.subs").alias("active_subs_last_month"),
+        F.col("g.session_month").alias("last_session_month"),
+        F.col("g.mau").alias("mau_last_month"),
     )
