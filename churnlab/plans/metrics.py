@@ -128,15 +128,19 @@ def active_users(engagement: DataFrame) -> DataFrame:
 
 
 def stickiness(engagement: DataFrame) -> DataFrame:
-    """Per month: MAU, mean DAU over the days with activity, DAU/MAU."""
-    daily = engagement.groupBy("session_month", "session_date").agg(F.count(F.lit(1)).alias("dau"))
-    dau = daily.groupBy("session_month").agg(
-        F.sum("dau").alias("_dau_sum"), F.count(F.lit(1)).alias("active_days")
+    """Per month: MAU, mean DAU over the days with activity, DAU/MAU.
+
+    The mart is one row per user-day, so the sum of the month's daily active
+    users is its row count: one monthly aggregate gives user-days, active
+    days and MAU together.
+    """
+    g = engagement.groupBy("session_month").agg(
+        F.count(F.lit(1)).alias("_user_days"),
+        F.count_distinct("session_date").alias("active_days"),
+        F.count_distinct("user_id").alias("mau"),
     )
-    mau = engagement.groupBy("session_month").agg(F.count_distinct("user_id").alias("mau"))
-    out = dau.join(mau, "session_month", "inner")
-    avg_dau = ratio(F.col("_dau_sum"), F.col("active_days"))
-    return out.select(
+    avg_dau = ratio(F.col("_user_days"), F.col("active_days"))
+    return g.select(
         "session_month",
         "mau",
         "active_days",
