@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab.functions.dates import (
+    add_days,
     as_date,
     date_lit,
     day_diff,
@@ -26,10 +27,10 @@ from churnlab.functions.dates import (
 from churnlab.functions.scalar import bucketize
 from churnlab.operators.core import (
     active_months,
+    activity_days,
     daily_activity,
     first_per_key,
     lookup_join,
-    retention_flags,
     stage_flags,
 )
 from churnlab.settings import Settings
@@ -94,15 +95,31 @@ def user_outcomes(
     users: DataFrame, subscriptions: DataFrame, sessions: DataFrame, activity_is_daily: bool = False
 ) -> DataFrame:
     """One row per user: conversion, max MRR, D7 (days 7-13) and D30 (days
-    30-59) retention. Each side is aggregated per user before the join, so
-    subscriptions and sessions never multiply each other. ``sessions`` may be
-    any (user_id, session_date) activity; with ``activity_is_daily`` it is
-    already one row per user-day (the engagement mart) and is used as is."""
+    30-59) retention.
+
+    Subscriptions are reduced to one conversion row per user and sessions to
+    distinct user-days before anything meets the users, so the two never
+    multiply each other. Users, conversion rows and user-days then join on
+    ``user_id`` once - all three hash-partitioned on it - and the retention
+    flags are aggregated per user on that same partitioning (no further
+    shuffle, and the users table is shuffled once). ``sessions`` may be any
+    (user_id, session_date) activity; with ``activity_is_daily`` it is already
+    one row per user-day (the engagement mart) and is used as is.
+    """
     conv = user_conversion(subscriptions)
-    ret = retention_flags(users, sessions, RETENTION_WINDOWS, activity_is_daily=activity_is_daily)
-    out = users.select(
-        "user_id", "signup_date", "signup_timestamp", *USER_CONTEXT
-    ).join(conv, "user_id", "left").join(ret, "user_id", "left")
+    days = (
+        sessions.select("user_id", "session_date")
+        if activity_is_daily
+        else activity_days(sessions, "user_id", "session_date")
+    )
+    base = users.select("user_id", "signup_date", "signup_timestamp", *USER_CONTEXT).join(conv, "user_id", "left")
+    joined = base.join(days, "user_id", "left")
+    d, a = F.col("session_date"), F.col("signup_date")
+    flags = [
+        F.max(F.when((d >= add_days(a, lo)) & (d < add_days(a, hi)), 1).otherwise(0)).alias(name)
+        for name, (lo, hi) in RETENTION_WINDOWS.items()
+    ]
+    out = joined.groupBy(*base.columns).agg(*flags)
     return out.select(
         "user_id",
         "signup_date",
