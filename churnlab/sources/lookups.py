@@ -75,10 +75,9 @@ EXPERIMENT_INCLUSION_PCT = 80
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
-    """A small table built from literals.
-
-    The optimizer folds it into a local relation: no scan, no partitions to
-    schedule, and its size is known when planning (a bounded broadcast side).
+    """A small table built from literals: one generated row per literal row
+    over a one-row range. No file scan, and its size is fixed by the literal
+    itself, so it is a bounded broadcast side by construction.
     """
     if not rows:
         return spark.createDataFrame([], schema)
