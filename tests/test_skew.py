@@ -62,3 +62,54 @@ def test_flags_and_retention_with_hot_user(spark):
     assert paid == set(pdf.loc[pdf.device == "A", "user_id"])
     plan = flags._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
+
+
+def test_hot_user_join_is_split_by_aqe(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from churnlab.settings import Settings
+    from churnlab.sources.lookups import channel_cac_df, plans_df
+
+    n = 30000
+    subs = spark.createDataFrame(
+        [(i, 0 if i % 3 == 0 else i, 1 + i % 4, "active", dt.datetime(2024, 1 + i % 6, 1), None, False, True,
+          Decimal("7.99")) for i in range(n)],
+        "subscription_id bigint, user_id bigint, plan_id int, status string, started_at timestamp_ntz, "
+        "ended_at timestamp_ntz, is_trial boolean, converted_to_paid boolean, mrr decimal(8,2)",
+    )
+    users = spark.createDataFrame(
+        [(i, "organic", "US", "A") for i in range(n)],
+        "user_id bigint, acquisition_channel string, country string, primary_device string",
+    )
+    st = Settings(as_of=dt.date(2024, 6, 30))
+    # Thresholds scaled down to kilobyte-sized test data (at scale the
+    # defaults apply: a partition is skewed above 256 MB and 4x the median).
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        eco = M.mart_economics(subs, users, plans_df(spark), channel_cac_df(spark), st)
+        total = eco.count()
+        assert eco.where("user_id = 0").select("subscription_id").distinct().count() == n // 3
+        df = eco.groupBy("user_id").count()
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString()
+        assert "isSkewJoin=true" in final or "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    # same rows as without skew handling: every subscription x its months
+    assert total == sum(6 - i % 6 for i in range(n))
