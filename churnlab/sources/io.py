@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlab.operators.core import union_all
 from churnlab.sources.schemas import SCHEMAS, SOURCE_TABLES, STAGING_COLUMNS
 
 
@@ -107,7 +108,4 @@ def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per table: one (table_name, row_count) row per table."""
     counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
               for name, df in tables.items()]
-    out = counts[0]
-    for part in counts[1:]:
-        out = out.unionByName(part)
-    return out
+    return union_all(counts)
