@@ -108,29 +108,35 @@ def split_points(df: DataFrame, key: str, parts: int) -> list:
     return sorted({r["low"] for r in ranged.collect() if r["low"] is not None})
 
 
-def neighbour_runs(df: DataFrame, key: str, parts: int, wrap: bool) -> DataFrame:
-    """Deal rows into sorted runs, each followed by a copy of the next run's head.
-
-    Adds ``run`` and ``guard``. A run holds consecutive keys and is sorted; its
-    guard rows (all rows of the key that comes next) stand at its end, so that
-    whoever streams a run sees every row together with its successor, however
-    the rows were dealt out. With ``wrap`` the first key follows the last. The
-    driver sees one key per run. Runs are dealt by range of their number: they
-    never share keys, and a run is never split.
+def neighbour_runs(df: DataFrame, key: str, parts: int, wrap: bool = False, both_sides: bool = False) -> DataFrame:
+    """Deal rows into sorted runs that also hold their neighbours from other runs.
+
+    Adds ``run`` and ``place``. A run holds consecutive keys (place 0) and, at
+    place 1, a copy of all rows of the key that comes next, with ``both_sides``
+    at place -1 those of the key before. Sorted by run, place and key, a run shows
+    every row next to its neighbours, however the rows were dealt out. With
+    ``wrap`` the first key follows the last. The driver sees two keys per run.
+    Runs are dealt by range of their number: they never share keys, and a run is
+    never split. Keys must not be null.
     """
     points = split_points(df, key, parts)
     kind = df.schema[key].dataType
     bounds = F.array(*[F.lit(p).cast(kind) for p in points[1:]]) if len(points) > 1 else F.array().cast(f"array<{kind.simpleString()}>")
     dealt = df.withColumn("run", F.size(F.filter(bounds, lambda p: p <= F.col(key))))
-    heads = sorted((r["run"], r["head"]) for r in dealt.groupBy("run").agg(F.min(key).alias("head")).collect())
-    follows = [(heads[i][0], heads[i + 1][1]) for i in range(len(heads) - 1)]
-    if wrap and heads:
-        follows.append((heads[-1][0], heads[0][1]))
-    rows = dealt.withColumn("guard", F.lit(False))
-    if follows:
-        runs = F.create_map(*[x for run, head in follows for x in (F.lit(head).cast(kind), F.lit(run))])
-        copies = dealt.filter(F.col(key).isin([head for _, head in follows])).withColumn("run", F.element_at(runs, F.col(key))).withColumn("guard", F.lit(True))
-        rows = rows.unionByName(copies)
+    ends = sorted(tuple(r) for r in dealt.groupBy("run").agg(F.min(key), F.max(key)).collect())
+    copies = [(b[1], a[0], 1) for a, b in zip(ends, ends[1:])]
+    if both_sides:
+        copies += [(a[2], b[0], -1) for a, b in zip(ends, ends[1:])]
+    if wrap and ends:
+        copies.append((ends[0][1], ends[-1][0], 1))
+    rows = dealt.withColumn("place", F.lit(0))
+    if copies:
+        to: dict[object, list] = {}
+        for value, run, place in copies:
+            to.setdefault(value, []).append(F.struct(F.lit(run).alias("run"), F.lit(place).alias("place")))
+        goes = F.create_map(*[x for value, where in to.items() for x in (F.lit(value).cast(kind), F.array(*where))])
+        again = dealt.filter(F.col(key).isin(list(to))).drop("run").withColumn("to", F.explode(F.element_at(goes, F.col(key))))
+        rows = rows.unionByName(again.select(*df.columns, "to.run", "to.place"))
     return rows.repartitionByRange(max(1, len(points)), "run")
 
 

@@ -75,4 +75,16 @@ WITH RECURSIVE docs AS (
 SELECT doc_id, source, tokens, epoch, block, row_number() OVER (PARTITION BY block ORDER BY k, source, tokens) AS rank FROM taken
 """
 
-ORACLE = {"op1_mixing": MIXING, "op7_exact_dedup": EXACT_DEDUP}
+WARC = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+FROM firsts
+"""
+
+ORACLE = {"op1_mixing": MIXING, "op7_exact_dedup": EXACT_DEDUP, "op8_warc": WARC}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlab.llm import exact, mixing, quality, simhash, spm
+from churnlab.llm import exact, html, lm, mixing, quality, secrets, simhash, sketch, spm, warc
 from churnlab.llm.common import table
 from churnlab.llm.oracle import ORACLE  # noqa: F401  (read by the driver's entry)
 
@@ -25,11 +25,21 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), simhash.hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scanned(docs, secrets.learn_formats(docs))
+    return found.select(F.col("id").alias("doc_id"), *secrets.digest_columns())
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = spm.encoded(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "round_trip", "parity")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edited_pairs(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.select(F.col("id").alias("doc_id"), "lang", "n_tokens", "perplexity", "threshold", "kept")
@@ -39,7 +49,30 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_decisions(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op2_simhash_near_dedup, op4_sentencepiece, op6_quality_classifier, op7_exact_dedup)
+    for f in (
+        op1_mixing,
+        op2_simhash_near_dedup,
+        op3_secret_scans,
+        op4_sentencepiece,
+        op5_fingerprints,
+        op6_quality_classifier,
+        op7_exact_dedup,
+        op8_warc,
+        op9_html_extraction,
+        op10_lm_scoring,
+    )
 }
