@@ -82,15 +82,13 @@ def exact_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     reduced to one.
     """
     groups = written(exact_groups(docs, id_col, text_col).filter("not kept or copies > 1"), "exact-groups")
-    gone = groups.filter("not kept").select(F.col("id").alias("g_id"), F.col("text_sha256").alias("g_sha"))
-    repeated = groups.filter("kept and copies > 1").select(F.col("id").alias("r_id"), F.col("text_sha256").alias("r_sha"))
-    sha, own = free_name(docs, "own_sha256"), F.col(f"`{id_col}`")
+    sha, other_id, other_sha = (free_name(docs, n) for n in ("own_sha256", "other_id", "other_sha256"))
+    names = (F.col("id").alias(other_id), F.col("text_sha256").alias(other_sha))
+    same = [F.col(f"`{id_col}`").eqNullSafe(F.col(other_id)), F.col(sha) == F.col(other_sha)]
     hashed = docs.withColumn(sha, F.sha2(without_white_space(whole_text(text_col)).cast("binary"), 256))
-    drop_key = own.eqNullSafe(F.col("g_id")) & (F.col(sha) == F.col("g_sha"))
-    left = hashed.join(gone, drop_key, "left_anti")
+    left = hashed.join(groups.filter("not kept").select(*names), same, "left_anti")
+    repeated = groups.filter("kept and copies > 1").select(*names)
     if repeated.isEmpty():
         return left.drop(sha)
-    repeat_key = own.eqNullSafe(F.col("r_id")) & (F.col(sha) == F.col("r_sha"))
-    once = left.join(repeated, repeat_key, "left_anti").drop(sha)
-    again = left.join(repeated, repeat_key, "left_semi").dropDuplicates([id_col, sha]).drop(sha)
-    return once.unionByName(again)
+    again = left.join(repeated, same, "left_semi").dropDuplicates([id_col, sha])
+    return left.join(repeated, same, "left_anti").unionByName(again).drop(sha)

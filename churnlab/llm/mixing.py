@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnlab.llm.common import WHITE_SPACE, picked, whole_text, written
+from churnlab.llm.common import WHITE_SPACE, free_name, picked, whole_text, written
 
 TARGET_ENTROPY = 0.95  # of the entropy of equal weights
 MAX_REPEATS = 2.0
@@ -152,8 +152,7 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", source_col: str = "
     The input is written with a row number, by which decisions name rows even
     where ids repeat or are missing.
     """
-    number, epoch = "mixture_row_", "mixture_epoch_"
+    number = free_name(docs, "mixture_row")
     numbered = written(docs.withColumn(number, F.monotonically_increasing_id()), "mix-input")
     order = mixed(numbered, number, text_col, source_col, **options)
-    chosen = order.select(F.col("id").alias(number), F.col("epoch").alias(epoch))
-    return numbered.join(chosen, number).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return numbered.join(order.select(F.col("id").alias(number)), number).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -209,8 +209,8 @@ def learn_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     The examples are labelled by the base patterns in at most ``fit_docs``
     documents; of each kind at most ``fit_values`` different ones, the first by
-    hash, come to the driver. Values that are labelled as credentials anywhere
-    in the sample are no ordinary words.
+    hash, come to the driver. Long words of exactly a labelled credential's form
+    are not taken for ordinary ones.
     """
     rows = picked(docs, id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     ids = rows.select("id").filter("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(fit_docs)
@@ -219,7 +219,8 @@ def learn_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     for kind in ("", *BASE_KINDS):
         first = found.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(fit_values)
         own[kind] = [symbols_of(r["value"]) for r in first.select("value").collect()]
-    return Formats({k: Automaton(own[k]) for k in BASE_KINDS if own[k]}, Automaton(own[""]))
+    labelled = {form for k in BASE_KINDS for form in own[k]}
+    return Formats({k: Automaton(own[k]) for k in BASE_KINDS if own[k]}, Automaton([form for form in own[""] if form not in labelled]))
 
 
 def all_spans(text: str, formats: Formats) -> list[tuple[str, int, int, float]]:

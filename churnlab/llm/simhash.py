@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import connected, picked, written
+from churnlab.llm.common import connected, free_name, picked, written
 
 SHINGLE_WORDS = 3
 HASH_SEED = 42
@@ -253,5 +253,6 @@ def near_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     """The rows of ``docs`` of which one document of each group stays: that with
     the smallest id. Rows without an id, which no decision can name, stay."""
     groups = near_groups(docs, id_col, text_col, words_per_shingle, radius)
-    gone = written(groups.filter("id <> component").select(F.col("id").alias("gone_id")).distinct(), "near-gone")
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("gone_id"), "left_anti")
+    gone_id = free_name(docs, "gone_id")
+    gone = written(groups.filter("id <> component").select(F.col("id").alias(gone_id)).distinct(), "near-gone")
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col(gone_id), "left_anti")
