@@ -36,11 +36,15 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def hash_bucket(key: Column, buckets: int = 100) -> Column:
-    """Stable bucket in [0, buckets) from the first 32 bits of md5(key).
+def hash_value(key: Column) -> Column:
+    """The first 32 bits of md5(key) as a bigint.
 
-    Same value in any SQL engine with md5 and hex parsing, so assignment by
-    bucket is reproducible and checkable (replaces seeded random sampling).
+    Same value in any SQL engine with md5 and hex parsing, so assignment by it
+    is reproducible and checkable (replaces seeded random sampling).
     """
-    head = F.substring(F.md5(key.cast("string")), 1, 8)
-    return (F.conv(head, 16, 10).cast("bigint") % F.lit(buckets)).cast("int")
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_bucket(key: Column, buckets: int = 100) -> Column:
+    """Stable bucket in [0, buckets) of a key (see ``hash_value``)."""
+    return (hash_value(key) % F.lit(buckets)).cast("int")

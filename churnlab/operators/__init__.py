@@ -1,14 +1,12 @@
 """Generic DataFrame operators (joins, flags, first-row, windows, series)."""
 
 from churnlab.operators.core import (  # noqa: F401
-    BROADCAST_MAX_ROWS,
     active_months,
     activity_days,
     anti_orphans,
     daily_activity,
     first_per_key,
-    is_bounded,
-    lookup_join,
+    orphan_keys,
     retention_flags,
     stage_flags,
     union_all,

@@ -7,8 +7,9 @@ All are plain DataFrame -> DataFrame functions. Shapes chosen for scale:
   partition before any shuffle;
 * per-key windows only run over pre-aggregated rows whose count per key has a
   fixed bound (e.g. one row per user-day);
-* small lookups are broadcast only when their size is bounded, otherwise the
-  join is left to the planner (sort-merge with AQE skew splitting).
+* no broadcast hints: literal lookups are broadcast because the planner knows
+  their size, other joins are sized by AQE from measured bytes and split where
+  a key is hot.
 """
 
 from __future__ import annotations
@@ -20,40 +21,6 @@ from pyspark.sql import functions as F
 
 from churnlab.functions.dates import add_days, as_date, date_lit, month_series, month_start
 
-# Lookups up to this many rows may be broadcast after a bounded count check.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows, so the check itself is cheap even
-    when the table turns out large.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    bounded: bool | None = None,
-    max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """Join ``df`` to a dimension/lookup table.
-
-    ``bounded=True`` declares the lookup small by construction (an inline
-    literal); ``None`` checks its row count first. Bounded lookups are
-    broadcast (no shuffle of ``df``); anything else is a normal join that the
-    planner and AQE size at runtime.
-    """
-    if bounded is None:
-        bounded = is_bounded(lookup, max_rows)
-    right = F.broadcast(lookup) if bounded else lookup
-    return df.join(right, on=on, how=how)
-
-
 def stage_flags(
     entities: DataFrame,
     events: DataFrame,
@@ -107,23 +74,24 @@ def retention_flags(
     date_col: str = "session_date",
     activity_is_daily: bool = False,
 ) -> DataFrame:
-    """(key, flag...) - 1 when any activity falls in [anchor+lo, anchor+hi) days.
+    """Entity rows plus one 0/1 flag per window: did any activity fall in
+    [anchor+lo, anchor+hi) days.
 
     Activity is cut to distinct key-days first (map-side combined), so a user
     contributes at most one row per calendar day to the join; pass
     ``activity_is_daily=True`` when it already has that grain (e.g. the
-    engagement mart) to skip the cut. Entities without activity get 0.
+    engagement mart) to skip the cut. The flags are aggregated on the join's own
+    partitioning (no further shuffle). ``key`` is unique in ``entities``;
+    entities without activity get 0.
     """
     days = activity.select(key, date_col) if activity_is_daily else activity_days(activity, key, date_col)
-    anchors = entities.select(key, anchor_col)
-    joined = anchors.join(days, on=key, how="left")
-    d = F.col(date_col)
-    a = F.col(anchor_col)
-    aggs = [
+    joined = entities.join(days, on=key, how="left")
+    d, a = F.col(date_col), F.col(anchor_col)
+    flags = [
         F.max(F.when((d >= add_days(a, lo)) & (d < add_days(a, hi)), 1).otherwise(0)).alias(name)
         for name, (lo, hi) in windows.items()
     ]
-    return joined.groupBy(key).agg(*aggs)
+    return joined.groupBy(*entities.columns).agg(*flags)
 
 
 def daily_activity(
@@ -193,7 +161,17 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def anti_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose non-null key has no parent (left anti join)."""
-    parent_key = parent_key or child_key
-    keys = parent.select(F.col(parent_key).alias(child_key)).distinct()
-    return child.where(F.col(child_key).isNotNull()).join(keys, on=child_key, how="left_anti")
+    """Child rows whose non-null key has no parent.
+
+    The orphan keys are found first, from one row per key (map-side combined),
+    so a key held by a large share of the child rows is one row in the anti
+    join; the child's rows are then matched with the few orphan keys.
+    """
+    present = child.where(F.col(child_key).isNotNull())
+    return present.join(orphan_keys(present, parent, child_key, parent_key), on=child_key, how="left_semi")
+
+
+def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
+    """Distinct non-null child keys that no parent row has."""
+    parents = parent.select(F.col(parent_key or child_key).alias(child_key)).distinct()
+    return child.select(child_key).where(F.col(child_key).isNotNull()).distinct().join(parents, child_key, "left_anti")

@@ -21,7 +21,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.operators.core import anti_orphans, union_all
+from churnlab.operators.core import anti_orphans, orphan_keys, union_all
+from churnlab.sources.schemas import KEYS, REQUIRED
 
 
 def check_unique(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
@@ -75,7 +76,7 @@ def orphan_count(child: DataFrame, col: str, parent: DataFrame, parent_col: str
     counts, not as its rows.
     """
     per_key = child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    orphans = anti_orphans(per_key, parent, col, parent_col)
+    orphans = per_key.join(orphan_keys(per_key, parent, col, parent_col), col, "left_semi")
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"))
 
 
@@ -189,6 +190,7 @@ def quality_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) ->
     return union_all(parts)
 
 
+# The declared column tests.
 def reference_suite(accepted_channels: Sequence[str], accepted_statuses: Sequence[str]) -> list[Check]:
     """The 37 column tests declared for the staging models, marts and seed."""
     s = CheckSuite()
@@ -221,3 +223,20 @@ def reference_suite(accepted_channels: Sequence[str], accepted_statuses: Sequenc
     s.add("channel_cac", "acquisition_channel", "unique", "not_null")
     s.add("channel_cac", "channel_cac", "not_null")
     return s.checks
+
+
+def key_suite() -> list[Check]:
+    """Declared keys of more than one column."""
+    return [Check(f"stg_{table}", key, "unique") for table, key in KEYS.items() if len(key) > 1]
+
+
+def full_suite(accepted_channels: Sequence[str], accepted_statuses: Sequence[str]) -> list[Check]:
+    return reference_suite(accepted_channels, accepted_statuses) + key_suite()
+
+
+def load_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Violations of the declared keys and NOT NULL columns of the source tables
+    (and seed), which files cannot enforce: one row per key and column."""
+    checks = [Check(t, KEYS[t], "unique") for t in tables]
+    checks += [Check(t, c, "not_null") for t in tables for c in REQUIRED[t]]
+    return quality_report(tables, checks)

@@ -1,9 +1,8 @@
 """Content metrics: completion by genre/type and retention by segment.
 
-The catalog is never assumed small: it is broadcast only after a bounded
-size check (then views map to genres in place); otherwise views are
-aggregated per title first, so a very popular title becomes a handful of
-partial rows before the shuffle join.
+The catalog is never assumed small: views are aggregated per title first, so
+a very popular title becomes a handful of partial rows before it meets the
+catalog, and AQE picks the join from the measured bytes.
 """
 
 from __future__ import annotations
@@ -12,65 +11,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.functions.scalar import ratio
-from churnlab.operators.core import first_per_key, is_bounded
+from churnlab.operators.core import first_per_key
 
 
 def content_completion(views: DataFrame, catalog: DataFrame) -> DataFrame:
     """Per genre and content type: views, completed views (watch >= 90%),
     completion rate and mean watch share.
 
-    A catalog that passes the bounded size check is broadcast: the join is
-    narrow and views aggregate straight to (genre, type), one small shuffle.
-    A large catalog is joined by a shuffle on content_id after views are
-    aggregated per title (a hot title becomes a few partial rows first).
+    Views are aggregated per title, joined with the catalog and summed again.
+    Watch shares are summed as wide decimals, exact for any number of views.
     """
     cat = catalog.select("content_id", "genre", "content_type")
-    aggs = [
+    per_title = views.groupBy("content_id").agg(
         F.count(F.lit(1)).alias("views"),
         F.count_if(F.col("completed")).alias("completed_views"),
-        F.sum("watch_percentage").alias("watch_sum"),
+        F.sum(F.col("watch_percentage").cast("decimal(28,2)")).alias("watch_sum"),
         F.count("watch_percentage").alias("watch_n"),
-    ]
-    if is_bounded(cat):
-        g = views.join(F.broadcast(cat), "content_id", "inner").groupBy("genre", "content_type").agg(*aggs)
-    else:
-        per_item = views.groupBy("content_id").agg(*aggs)
-        g = per_item.join(cat, "content_id", "inner").groupBy("genre", "content_type").agg(
-            F.sum("views").alias("views"),
-            F.sum("completed_views").alias("completed_views"),
-            F.sum("watch_sum").alias("watch_sum"),
-            F.sum("watch_n").alias("watch_n"),
-        )
+    )
+    g = per_title.join(cat, "content_id", "inner").groupBy("genre", "content_type").agg(
+        *[F.sum(c).alias(c) for c in ("views", "completed_views", "watch_sum", "watch_n")]
+    )
     return g.select(
         "genre",
         "content_type",
         "views",
         "completed_views",
         ratio(F.col("completed_views"), F.col("views")).alias("completion_rate"),
-        ratio(F.col("watch_sum").cast("decimal(18,2)"), F.col("watch_n")).alias("avg_watch_percentage"),
+        ratio(F.col("watch_sum"), F.col("watch_n")).alias("avg_watch_percentage"),
     )
 
 
 def top_genre(views: DataFrame, catalog: DataFrame) -> DataFrame:
     """Most-watched genre per user (most views; ties to the first genre name).
-
-    Broadcast (bounded) catalog: views map to genres in place and aggregate
-    to (user, genre) directly. Large catalog: views aggregate to (user, title)
-    first, then a shuffle join on content_id.
-    """
-    cat = catalog.select("content_id", "genre")
-    if is_bounded(cat):
-        per_genre = (
-            views.select("user_id", "content_id")
-            .join(F.broadcast(cat), "content_id", "inner")
-            .groupBy("user_id", "genre")
-            .agg(F.count(F.lit(1)).alias("views"))
-        )
-    else:
-        per_item = views.groupBy("user_id", "content_id").agg(F.count(F.lit(1)).alias("n"))
-        per_genre = per_item.join(cat, "content_id", "inner").groupBy("user_id", "genre").agg(
-            F.sum("n").alias("views")
-        )
+    Views are aggregated to (user, title) before they meet the catalog."""
+    per_title = views.groupBy("user_id", "content_id").agg(F.count(F.lit(1)).alias("n"))
+    per_genre = (
+        per_title.join(catalog.select("content_id", "genre"), "content_id", "inner")
+        .groupBy("user_id", "genre")
+        .agg(F.sum("n").alias("views"))
+    )
     top = first_per_key(per_genre, ["user_id"], [F.col("views").desc(), F.col("genre").asc()])
     return top.select("user_id", F.col("genre").alias("top_genre"))
 

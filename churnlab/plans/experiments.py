@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlab.functions.scalar import hash_bucket
-from churnlab.operators.core import lookup_join
+from churnlab.functions.scalar import hash_bucket, hash_value
 from churnlab.sources.lookups import EXPERIMENT_INCLUSION_PCT
 
 
@@ -43,9 +42,7 @@ def _experiment_windows(experiments: DataFrame) -> DataFrame:
     )
 
 
-def experiment_eligibility(
-    users: DataFrame, experiments: DataFrame, lookups_bounded: bool | None = None
-) -> DataFrame:
+def experiment_eligibility(users: DataFrame, experiments: DataFrame) -> DataFrame:
     """(experiment_id, user_id, signup_timestamp) for users who signed up in
     the experiment window.
 
@@ -53,9 +50,8 @@ def experiment_eligibility(
     at midnight*, so sign-ups later on the last day fall out, as in the
     reference. The range condition becomes an equi-join: each experiment
     window is expanded to its days (bounded by the window length) and users
-    join on their sign-up date, then the exact timestamp test is applied. A
-    bounded day table is broadcast and the user table is not shuffled; a large
-    one falls back to a shuffle join on the day (AQE splits hot days).
+    join on their sign-up date, then the exact timestamp test is applied (a
+    hot sign-up day is split by AQE).
     """
     days = _experiment_windows(experiments).select(
         "experiment_id",
@@ -68,8 +64,7 @@ def experiment_eligibility(
             )
         ).alias("signup_date"),
     )
-    joined = lookup_join(users.select("user_id", "signup_date", "signup_timestamp"), days,
-                         "signup_date", how="inner", bounded=lookups_bounded)
+    joined = users.select("user_id", "signup_date", "signup_timestamp").join(days, "signup_date")
     ts = F.col("signup_timestamp")
     in_window = (ts >= F.col("start_date").cast("timestamp_ntz")) & (
         ts <= F.col("end_date").cast("timestamp_ntz")
@@ -81,14 +76,13 @@ def assign_variants(
     eligible: DataFrame,
     experiments: DataFrame,
     inclusion_pct: int = EXPERIMENT_INCLUSION_PCT,
-    lookups_bounded: bool | None = None,
 ) -> DataFrame:
     """Stable inclusion and even variant split.
 
     A user is in the experiment when md5 bucket of 'experiment:user' is below
-    ``inclusion_pct``; the variant index is the md5 bucket of
-    'experiment:v:user' modulo the number of variants, controls first (with
-    two variants: even bucket = control). ``assigned_at`` = sign-up time.
+    ``inclusion_pct``; the variant index is the 32-bit md5 value of
+    'experiment:v:user' modulo the number of variants (an even split for any
+    number), controls first. ``assigned_at`` = sign-up time.
     """
     ordered = experiments.select(
         "experiment_id",
@@ -104,15 +98,14 @@ def assign_variants(
     uid = F.col("user_id").cast("string")
     eid = F.col("experiment_id")
     picked = (
-        lookup_join(eligible, counts, "experiment_id", how="inner", bounded=lookups_bounded)
+        eligible.join(counts, "experiment_id")
         .where(hash_bucket(F.concat(eid, F.lit(":"), uid)) < F.lit(inclusion_pct))
         .withColumn(
             "variant_index",
-            (hash_bucket(F.concat(eid, F.lit(":v:"), uid)) % F.col("n_variants")).cast("int"),
+            (hash_value(F.concat(eid, F.lit(":v:"), uid)) % F.col("n_variants")).cast("int"),
         )
     )
-    out = lookup_join(picked, ordered, ["experiment_id", "variant_index"], how="inner",
-                      bounded=lookups_bounded)
+    out = picked.join(ordered, ["experiment_id", "variant_index"])
     return out.select(
         "experiment_id",
         "user_id",
@@ -121,14 +114,15 @@ def assign_variants(
     )
 
 
-def experiment_effects(
-    users: DataFrame, assignments: DataFrame, effects: DataFrame, lookups_bounded: bool | None = None
-) -> DataFrame:
+def experiment_effects(users: DataFrame, assignments: DataFrame, effects: DataFrame | None) -> DataFrame:
     """Per user: summed signup and D30 retention lifts over all experiments the
-    user is in; 0 for users in none. Lifts are decimals, so sums are exact."""
+    user is in; 0 for users in none. Lifts are decimals, so sums are exact.
+    Raises without an effects table: no effects given is not "no effect"."""
+    if effects is None:
+        raise ValueError("experiment_effects needs a table of effects (experiment_id, variant, signup_lift, d30_retention_lift)")
     per_user = (
-        lookup_join(assignments.select("experiment_id", "variant", "user_id"), effects,
-                    ["experiment_id", "variant"], how="inner", bounded=lookups_bounded)
+        assignments.select("experiment_id", "variant", "user_id")
+        .join(effects, ["experiment_id", "variant"])
         .groupBy("user_id")
         .agg(
             F.sum("signup_lift").alias("signup_lift"),

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from churnlab.functions.dates import add_days_ts
 from churnlab.functions.scalar import hash_bucket
-from churnlab.operators.core import first_per_key, lookup_join
 from churnlab.sources.lookups import TRIAL_DAYS_LONG, TRIAL_DAYS_SHORT
 
 
@@ -21,19 +20,19 @@ def normalized_mrr_expr(price: F.Column, billing_period: F.Column, converted: F.
 
 
 def normalized_mrr(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    """Per subscription: plan price, billing period and normalised MRR."""
+    """Per subscription: plan price, billing period, the MRR that the rule gives
+    and whether the stored MRR is the same."""
     p = plans.select("plan_id", "price_monthly", "billing_period")
-    j = lookup_join(subscriptions.select("subscription_id", "plan_id", "converted_to_paid"), p, "plan_id",
-                    how="left", bounded=True)
+    j = subscriptions.select("subscription_id", "plan_id", "converted_to_paid", "mrr").join(p, "plan_id", "left")
+    rule = normalized_mrr_expr(F.col("price_monthly"), F.col("billing_period"), F.col("converted_to_paid"))
     return j.select(
         "subscription_id",
         "plan_id",
         "billing_period",
         "price_monthly",
         "converted_to_paid",
-        normalized_mrr_expr(F.col("price_monthly"), F.col("billing_period"), F.col("converted_to_paid")).alias(
-            "normalized_mrr"
-        ),
+        rule.alias("normalized_mrr"),
+        (F.col("mrr") == rule).alias("mrr_matches"),
     )
 
 
@@ -62,19 +61,23 @@ def trial_period(
     subscriptions: DataFrame,
     assignments: DataFrame,
     experiments: DataFrame,
-    trial_experiment: str,
+    trial_experiment: str | None,
 ) -> DataFrame:
     """Trial length per subscription and the trial end.
 
     Users in ``trial_experiment`` get the short trial in its control variant
     and the long one otherwise; everyone else gets long or short by a stable
-    50/50 md5 bucket of the user (the reference draws it at random).
+    50/50 md5 bucket of the user (the reference draws it at random). A user that
+    is assigned more than once counts as control if any of them is. Raises
+    without the experiment's name.
     """
+    if trial_experiment is None:
+        raise ValueError("trial_period needs the name of the trial-length experiment")
     arms = (
         assignments.where(F.col("experiment_id") == trial_experiment)
-        .join(F.broadcast(experiments.select("experiment_id", "variant", "is_control")),
-              ["experiment_id", "variant"], "inner")
-        .select("user_id", "is_control")
+        .join(experiments.select("experiment_id", "variant", "is_control"), ["experiment_id", "variant"])
+        .groupBy("user_id")
+        .agg(F.bool_or("is_control").alias("is_control"))
     )
     j = subscriptions.select("subscription_id", "user_id", "started_at").join(arms, "user_id", "left")
     default_days = F.when(
@@ -99,22 +102,15 @@ def lifecycle_events(users: DataFrame, subscriptions: DataFrame) -> DataFrame:
     user at sign-up; trial_started at the start of the user's first
     subscription; subscribed at the start of the first paid one; churned at
     that one's end when it has ended. One generate per user, no union."""
-    order = [F.col("started_at").asc_nulls_last(), F.col("subscription_id").asc()]
-    first = first_per_key(subscriptions.select("user_id", "subscription_id", "started_at"), ["user_id"], order)
-    first_paid = first_per_key(
-        subscriptions.where(F.col("converted_to_paid")).select("user_id", "subscription_id", "started_at", "ended_at"),
-        ["user_id"],
-        order,
-    )
-    j = (
-        users.select("user_id", "signup_timestamp")
-        .join(first.select("user_id", F.col("started_at").alias("trial_ts")), "user_id", "left")
-        .join(
-            first_paid.select("user_id", F.col("started_at").alias("paid_ts"), F.col("ended_at").alias("churn_ts")),
-            "user_id",
-            "left",
-        )
+    # Earliest by (start, id), null starts last; all from one aggregate per user.
+    order = F.struct(F.col("started_at").isNull(), "started_at", "subscription_id")
+    paid = F.when(F.col("converted_to_paid"), order)
+    firsts = subscriptions.groupBy("user_id").agg(
+        F.min_by("started_at", order).alias("trial_ts"),
+        F.min_by("started_at", paid).alias("paid_ts"),
+        F.min_by("ended_at", paid).alias("churn_ts"),
     )
+    j = users.select("user_id", "signup_timestamp").join(firsts, "user_id", "left")
 
     def ev(name: str, ts: str) -> F.Column:
         return F.struct(F.lit(name).alias("event_type"), F.col(ts).alias("event_timestamp"))

@@ -68,20 +68,32 @@ def channel_performance(acquisition: DataFrame) -> DataFrame:
 
 
 def signups_over_time(acquisition: DataFrame) -> DataFrame:
-    """Sign-ups and paid users per sign-up month and channel."""
-    return acquisition.groupBy("signup_month", "acquisition_channel").agg(
-        F.count(F.lit(1)).alias("signups"),
-        F.sum("reached_paid").cast("bigint").alias("paid_users"),
+    """(grain, period_start, channel): sign-ups and paid users per sign-up month
+    and per sign-up week."""
+    counts = [F.count(F.lit(1)).alias("signups"), F.sum("reached_paid").cast("bigint").alias("paid_users")]
+    # Week and channel first; month and week do not nest, so both are grouped sets.
+    g = acquisition.groupingSets(
+        [["signup_month", "acquisition_channel"], ["signup_week", "acquisition_channel"]],
+        "signup_month", "signup_week", "acquisition_channel",
+    ).agg(*counts, F.grouping("signup_month").alias("_by_week"))
+    by_week = F.col("_by_week") == 1
+    return g.select(
+        F.when(by_week, F.lit("week")).otherwise(F.lit("month")).alias("grain"),
+        F.when(by_week, F.col("signup_week")).otherwise(F.col("signup_month")).alias("period_start"),
+        "acquisition_channel",
+        "signups",
+        "paid_users",
     )
 
 
 def geo_distribution(acquisition: DataFrame) -> DataFrame:
-    """Per country: users, paid users, share of all users, conversion."""
-    total = acquisition.select(F.count(F.lit(1))).scalar()
+    """Per country: users, paid users, share of all users, conversion. The total
+    is a window over the few country rows."""
     g = acquisition.groupBy("country").agg(
         F.count(F.lit(1)).alias("users"),
         F.sum("reached_paid").cast("bigint").alias("paid_users"),
     )
+    total = F.sum("users").over(Window.partitionBy(F.lit(1)))
     return g.select(
         "country",
         "users",
@@ -91,53 +103,57 @@ def geo_distribution(acquisition: DataFrame) -> DataFrame:
     )
 
 
-def cohort_retention(engagement: DataFrame, first_sessions: DataFrame) -> DataFrame:
-    """Cohort month x retention bucket: distinct active users, cohort size
-    (users whose first session is in the month), and their ratio."""
-    active = engagement.groupBy("cohort_month", "retention_bucket").agg(
-        F.count_distinct("user_id").alias("active_users")
-    )
-    sizes = first_sessions.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
-    out = active.join(sizes, "cohort_month", "left")
-    return out.select(
+def _flagged(flag: str) -> Column:
+    return F.count_if(F.col(flag))
+
+
+def cohort_retention(user_days: DataFrame) -> DataFrame:
+    """Cohort month x retention bucket: distinct active users, cohort size (users
+    whose first session is in the month), and their ratio.
+
+    A user's first day in a bucket stands for the user, and its first day of all
+    for its place in the cohort: map-side sums over the mart, which is scanned
+    once. Sessions of users missing from the user table are in neither number,
+    as the mart leaves them out.
+    """
+    g = user_days.groupBy("cohort_month", "retention_bucket").agg(_flagged("first_of_retention_bucket").alias("active_users"))
+    first = F.when(F.col("retention_bucket") == "D0", F.col("active_users"))
+    size = F.max(first).over(Window.partitionBy("cohort_month"))
+    return g.select(
         "cohort_month",
         "retention_bucket",
         "active_users",
-        "cohort_size",
-        ratio(F.col("active_users"), F.col("cohort_size")).alias("retention_rate"),
+        size.alias("cohort_size"),
+        ratio(F.col("active_users"), size).alias("retention_rate"),
     )
 
 
-def active_users(engagement: DataFrame) -> DataFrame:
+def active_users(user_days: DataFrame) -> DataFrame:
     """(grain, period_start, active_users) for day, week and month grains.
 
-    One pass: grouping sets over day, week and month with a distinct user
-    count (the mart is one row per user-day, so the day count is DAU). The
-    mart is computed once instead of once per grain.
+    The mart is one row per user-day and flags each user's first day of a week
+    and month, so distinct users are sums of flags per day (map-side combined),
+    and weeks and months are sums of their days.
     """
-    g = engagement.groupingSets(
-        [["session_date"], ["session_week"], ["session_month"]], "session_date", "session_week", "session_month"
-    ).agg(F.count_distinct("user_id").alias("active_users"), F.grouping("session_date").alias("_gd"),
-          F.grouping("session_week").alias("_gw"))
-    grain = F.when(F.col("_gd") == 0, F.lit("day")).when(F.col("_gw") == 0, F.lit("week")).otherwise(F.lit("month"))
-    return g.select(
-        grain.alias("grain"),
-        F.coalesce("session_date", "session_week", "session_month").alias("period_start"),
-        "active_users",
+    days = user_days.groupBy("session_date", "session_week", "session_month").agg(
+        F.count(F.lit(1)).alias("day"),
+        _flagged("first_of_session_week").alias("week"),
+        _flagged("first_of_session_month").alias("month"),
     )
+    periods = {"day": "session_date", "week": "session_week", "month": "session_month"}
+    rows = F.array(*[F.struct(F.lit(g).alias("grain"), F.col(c).alias("period_start"), F.col(g).alias("n")) for g, c in periods.items()])
+    each = days.select(F.explode(rows).alias("r")).select("r.*")
+    return each.groupBy("grain", "period_start").agg(F.sum("n").alias("active_users"))
 
 
-def stickiness(engagement: DataFrame) -> DataFrame:
-    """Per month: MAU, mean DAU over the days with activity, DAU/MAU.
-
-    The mart is one row per user-day, so the sum of the month's daily active
-    users is its row count: one monthly aggregate gives user-days, active
-    days and MAU together.
-    """
-    g = engagement.groupBy("session_month").agg(
-        F.count(F.lit(1)).alias("_user_days"),
-        F.count_distinct("session_date").alias("active_days"),
-        F.count_distinct("user_id").alias("mau"),
+def stickiness(user_days: DataFrame) -> DataFrame:
+    """Per month: MAU, mean DAU over the days with activity, DAU/MAU, all from
+    one row per day (see ``active_users``)."""
+    days = user_days.groupBy("session_month", "session_date").agg(
+        F.count(F.lit(1)).alias("dau"), _flagged("first_of_session_month").alias("new")
+    )
+    g = days.groupBy("session_month").agg(
+        F.sum("dau").alias("_user_days"), F.count(F.lit(1)).alias("active_days"), F.sum("new").alias("mau")
     )
     avg_dau = ratio(F.col("_user_days"), F.col("active_days"))
     return g.select(
@@ -342,7 +358,7 @@ def experiment_significance(results: DataFrame, z_crit: float = 1.96) -> DataFra
     )
 
 
-def kpi_tiles(acquisition: DataFrame, economics: DataFrame, engagement: DataFrame) -> DataFrame:
+def kpi_tiles(acquisition: DataFrame, economics: DataFrame, user_days: DataFrame) -> DataFrame:
     """One row: users, paid users, conversion, the last active month's MRR and
     subscriptions, and the last activity month's MAU.
 
@@ -364,7 +380,7 @@ def kpi_tiles(acquisition: DataFrame, economics: DataFrame, engagement: DataFram
         .select(F.struct("active_month", "mrr", "subs"))
         .scalar()
     )
-    mau = engagement.groupBy("session_month").agg(F.count_distinct("user_id").alias("mau"))
+    mau = user_days.groupBy("session_month").agg(_flagged("first_of_session_month").alias("mau"))
     eng = mau.orderBy(F.col("session_month").desc()).limit(1).select(F.struct("session_month", "mau")).scalar()
     # Each subquery appears once; the tiles are read from its struct after.
     tiles = acquisition.sparkSession.range(1).select(acq.alias("a"), eco.alias("e"), eng.alias("g"))

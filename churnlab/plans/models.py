@@ -5,17 +5,17 @@ settings. Shared shapes:
 
 * one shuffle key throughout - ``user_id`` - so funnel flags, first
   subscription, outcomes and users co-partition and later joins reuse it;
-* plans, CAC and experiment variants are inline lookups, broadcast;
+* plans, CAC and experiment variants are joined without hints: the planner
+  broadcasts what it knows or measures to be small;
 * subscription x month is a per-row generate, not a join against a spine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab.functions.dates import (
-    add_days,
     as_date,
     date_lit,
     day_diff,
@@ -27,10 +27,9 @@ from churnlab.functions.dates import (
 from churnlab.functions.scalar import bucketize
 from churnlab.operators.core import (
     active_months,
-    activity_days,
     daily_activity,
     first_per_key,
-    lookup_join,
+    retention_flags,
     stage_flags,
 )
 from churnlab.settings import Settings
@@ -42,6 +41,7 @@ from churnlab.sources.lookups import (
 )
 
 USER_CONTEXT = ["acquisition_channel", "country", "primary_device"]
+FIRST_DAYS = ["first_of_session_week", "first_of_session_month", "first_of_retention_bucket"]
 
 
 # --------------------------------------------------------------------------
@@ -107,19 +107,8 @@ def user_outcomes(
     one row per user-day (the engagement mart) and is used as is.
     """
     conv = user_conversion(subscriptions)
-    days = (
-        sessions.select("user_id", "session_date")
-        if activity_is_daily
-        else activity_days(sessions, "user_id", "session_date")
-    )
     base = users.select("user_id", "signup_date", "signup_timestamp", *USER_CONTEXT).join(conv, "user_id", "left")
-    joined = base.join(days, "user_id", "left")
-    d, a = F.col("session_date"), F.col("signup_date")
-    flags = [
-        F.max(F.when((d >= add_days(a, lo)) & (d < add_days(a, hi)), 1).otherwise(0)).alias(name)
-        for name, (lo, hi) in RETENTION_WINDOWS.items()
-    ]
-    out = joined.groupBy(*base.columns).agg(*flags)
+    out = retention_flags(base, sessions, RETENTION_WINDOWS, activity_is_daily=activity_is_daily)
     return out.select(
         "user_id",
         "signup_date",
@@ -127,11 +116,18 @@ def user_outcomes(
         *USER_CONTEXT,
         F.coalesce("converted", F.lit(0)).alias("converted"),
         F.coalesce("sub_mrr", F.lit(0).cast("decimal(8,2)")).alias("sub_mrr"),
-        F.coalesce("retained_d7", F.lit(0)).alias("retained_d7"),
-        F.coalesce("retained_d30", F.lit(0)).alias("retained_d30"),
+        *RETENTION_WINDOWS,
     )
 
 
+def assigned_outcomes(
+    assignments: DataFrame, users: DataFrame, subscriptions: DataFrame, sessions: DataFrame, activity_is_daily: bool = False
+) -> DataFrame:
+    """Outcomes of the users that are in any experiment."""
+    assigned = users.join(assignments.select("user_id").distinct(), "user_id", "left_semi")
+    return user_outcomes(assigned, subscriptions, sessions, activity_is_daily)
+
+
 def subscription_months(
     subscriptions: DataFrame, plans: DataFrame, settings: Settings, cap=None
 ) -> DataFrame:
@@ -140,7 +136,7 @@ def subscription_months(
     Uncapped by default, as the reference model is."""
     paid = subscriptions.where(F.col("converted_to_paid"))
     months = active_months(paid, "started_at", "ended_at", settings.as_of, cap)
-    named = lookup_join(months, plans.select("plan_id", "plan_name"), "plan_id", how="left", bounded=True)
+    named = months.join(plans.select("plan_id", "plan_name"), "plan_id", "left")
     churned = (F.col("status") == "churned") & (month_start("ended_at") == F.col("active_month"))
     return named.select(
         "subscription_id",
@@ -183,8 +179,8 @@ def mart_acquisition(
     funnel = user_funnel(users, events, week)
     first = user_first_sub(subscriptions)
     out = funnel.join(first.drop("is_trial"), "user_id", "left")
-    out = lookup_join(out, plans.select("plan_id", "plan_name", "billing_period"), "plan_id", "left", bounded=True)
-    out = lookup_join(out, channel_cac, "acquisition_channel", "left", bounded=True)
+    out = out.join(plans.select("plan_id", "plan_name", "billing_period"), "plan_id", "left")
+    out = out.join(channel_cac, "acquisition_channel", "left")
     return out.select(
         *funnel.columns,
         "plan_id",
@@ -197,28 +193,56 @@ def mart_acquisition(
     )
 
 
-def engagement_days(sessions: DataFrame) -> DataFrame:
-    """Daily activity plus each user's first session date.
+def acquisition_profile(users: DataFrame, events: DataFrame, channel_cac: DataFrame, week: str = "sunday") -> DataFrame:
+    """The part of the acquisition mart that needs no subscription: funnel flags
+    and channel CAC. What the acquisition metrics read."""
+    out = user_funnel(users, events, week).join(channel_cac, "acquisition_channel", "left")
+    return out.withColumn("channel_cac", F.coalesce(F.col("channel_cac"), F.lit(0)))
 
-    The first date is a window minimum over the user's day rows - at most one
-    row per calendar day per user - so sessions are scanned once and a heavy
-    user is spread over (user, day) keys in the first shuffle.
+
+def engagement_days(sessions: DataFrame, week: str = "sunday") -> DataFrame:
+    """Daily activity plus each user's first session date, and whether the day is
+    the user's first of its week, its month and its retention bucket.
+
+    All are windows over the user's day rows - at most one row per calendar day
+    per user, one partitioning - so sessions are scanned once and a heavy user
+    is spread over (user, day) keys in the first shuffle.
     """
-    days = daily_activity(sessions)
-    return days.withColumn("first_session_date", F.min("session_date").over(Window.partitionBy("user_id")))
+    in_order = Window.partitionBy("user_id").orderBy("session_date")
+    days = daily_activity(sessions).withColumn("first_session_date", F.min("session_date").over(in_order))
+    since = day_diff("session_date", "first_session_date")
+    days = days.select(
+        "*",
+        week_start("session_date", week).alias("session_week"),
+        month_start("session_date").alias("session_month"),
+        since.alias("days_since_first"),
+        bucketize(since, RETENTION_BUCKETS).alias("retention_bucket"),
+    )
+    # In date order each of the three only ever moves on, so a day that differs
+    # from the day before is the first one.
+
+    def first_of(period: str) -> Column:
+        return (~F.col(period).eqNullSafe(F.lag(period).over(in_order))).alias(f"first_of_{period}")
+
+    return days.select("*", *[first_of(p) for p in ("session_week", "session_month", "retention_bucket")])
 
 
 def mart_engagement(users: DataFrame, sessions: DataFrame, week: str = "sunday") -> DataFrame:
     """User-day grain: activity, user context, cohort (month/week of the first
     session), days since first session, retention bucket, engagement tier."""
-    days = engagement_days(sessions)
+    return user_days(users, sessions, week).drop(*FIRST_DAYS)
+
+
+def user_days(users: DataFrame, sessions: DataFrame, week: str = "sunday") -> DataFrame:
+    """The engagement mart with the first-day flags that active-user and cohort
+    counts add up (see ``engagement_days``)."""
+    days = engagement_days(sessions, week)
     out = days.join(users.select("user_id", *USER_CONTEXT), "user_id", "inner")
-    since = day_diff("session_date", "first_session_date")
     return out.select(
         "user_id",
         "session_date",
-        week_start("session_date", week).alias("session_week"),
-        month_start("session_date").alias("session_month"),
+        "session_week",
+        "session_month",
         "session_count",
         "total_minutes",
         "devices_used",
@@ -227,9 +251,10 @@ def mart_engagement(users: DataFrame, sessions: DataFrame, week: str = "sunday")
         "first_session_date",
         month_start("first_session_date").alias("cohort_month"),
         week_start("first_session_date", week).alias("cohort_week"),
-        since.alias("days_since_first"),
-        bucketize(since, RETENTION_BUCKETS).alias("retention_bucket"),
+        "days_since_first",
+        "retention_bucket",
         bucketize(F.col("total_minutes"), ENGAGEMENT_TIERS).alias("engagement_tier"),
+        *FIRST_DAYS,
     )
 
 
@@ -240,8 +265,8 @@ def paid_subscriptions(
     plan, start month and channel CAC (0 when missing)."""
     paid = subscriptions.where(F.col("converted_to_paid"))
     out = paid.join(users.select("user_id", *USER_CONTEXT), "user_id", "inner")
-    out = lookup_join(out, plans.select("plan_id", "plan_name", "billing_period"), "plan_id", "inner", bounded=True)
-    out = lookup_join(out, channel_cac, "acquisition_channel", "left", bounded=True)
+    out = out.join(plans.select("plan_id", "plan_name", "billing_period"), "plan_id", "inner")
+    out = out.join(channel_cac, "acquisition_channel", "left")
     return out.select(
         "subscription_id",
         "user_id",
@@ -308,7 +333,7 @@ def month_spine(
     paid = (
         subscriptions.where(F.col("converted_to_paid"))
         .join(users.select("user_id"), "user_id", "left_semi")
-        .join(F.broadcast(plans.select("plan_id")), "plan_id", "left_semi")
+        .join(plans.select("plan_id"), "plan_id", "left_semi")
     )
     top = month_start(F.max(F.coalesce(as_date("ended_at"), date_lit(settings.as_of))))
     if cap is not None:
@@ -325,25 +350,16 @@ def range_join_months(
     settings: Settings,
     cap="settings",
 ) -> DataFrame:
-    """Subscription x spine month where start month <= month <= end month.
+    """Subscription x month where start month <= month <= end month, within the
+    month spine: (subscription_id, active_month, tenure_months).
 
-    The theta join is planned as an equi-join: each subscription's candidate
-    months come from its own series, then join the spine on the month (a
-    bounded table: one row per calendar month, checked before broadcast).
-    Yields (subscription_id, active_month, tenure_months).
+    The spine runs from the earliest start month to the latest end month under
+    the cap, so it never removes a month of a subscription's own series: the
+    range join is that series, and no spine is built or joined (the theta form
+    is kept as a test).
     """
-    cap = settings.cap if cap == "settings" else cap
-    ps = paid_subscriptions(subscriptions, users, plans, channel_cac)
-    candidates = active_months(
-        ps.select("subscription_id", "started_at", "ended_at", "sub_start_month"),
-        "started_at", "ended_at", settings.as_of, cap,
-    )
-    spine = month_spine(subscriptions, users, plans, settings, cap)
-    joined = lookup_join(candidates, spine, "active_month", how="inner", max_rows=100_000)
-    return joined.select(
-        "subscription_id",
-        "active_month",
-        month_diff("active_month", "sub_start_month").alias("tenure_months"),
+    return mart_economics(subscriptions, users, plans, channel_cac, settings, cap).select(
+        "subscription_id", "active_month", "tenure_months"
     )
 
 
@@ -352,13 +368,12 @@ def mart_experiments(
     experiments: DataFrame,
     outcomes: DataFrame,
     week: str = "sunday",
-    lookups_bounded: bool | None = None,
 ) -> DataFrame:
     """Experiment x user: variant, control flag, assignment week/month and the
     user's outcomes. Outcomes stay null for users missing from the user table;
     revenue_per_assigned = coalesce(sub_mrr, 0) * converted."""
     exps = experiments.select("experiment_id", "variant", "experiment_name", "is_control")
-    out = lookup_join(assignments, exps, ["experiment_id", "variant"], how="inner", bounded=lookups_bounded)
+    out = assignments.join(exps, ["experiment_id", "variant"])
     out = out.join(
         outcomes.select("user_id", "converted", "retained_d7", "retained_d30", "sub_mrr"), "user_id", "left"
     )

@@ -22,11 +22,12 @@ from churnlab.plans import models as M
 from churnlab.session import ensure_checkpoint_dir
 from churnlab.sources.fixtures import Sources
 from churnlab.sources.io import conform, register_views, write_table
+from churnlab.sources.lookups import ACCEPTED_STATUSES
 
 # Mart -> partition columns of its table (months where the grain has one).
 MART_PARTITIONS: dict[str, tuple[str, ...]] = {
     "mart_acquisition": (),
-    "mart_engagement": ("session_month",),
+    "user_days": ("session_month",),
     "mart_economics": ("active_month",),
     "mart_experiments": (),
 }
@@ -40,24 +41,21 @@ class PipelineResult:
     quality: DataFrame | None = None
 
 
-def build_marts(s: Sources, engagement: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The four marts. When the engagement mart is already written, retention
-    for the experiments mart reads its (user_id, session_date) rows - one per
-    user-day - instead of scanning and de-duplicating all sessions again."""
+def build_marts(s: Sources, user_days: DataFrame) -> dict[str, DataFrame]:
+    """The four marts. The engagement mart is the written user-days without their
+    flags; retention for the experiments mart reads their (user_id,
+    session_date) rows instead of scanning all sessions again."""
     week = s.settings.week_start
-    if engagement is not None:
-        outcomes = M.user_outcomes(s.users, s.subscriptions, engagement, activity_is_daily=True)
-    else:
-        outcomes = M.user_outcomes(s.users, s.subscriptions, s.sessions)
+    outcomes = M.assigned_outcomes(s.experiment_assignments, s.users, s.subscriptions, user_days, activity_is_daily=True)
     return {
         "mart_acquisition": M.mart_acquisition(s.users, s.events, s.subscriptions, s.plans, s.channel_cac, week),
-        "mart_engagement": engagement if engagement is not None else M.mart_engagement(s.users, s.sessions, week),
+        "mart_engagement": user_days.drop(*M.FIRST_DAYS),
         "mart_economics": M.mart_economics(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings),
         "mart_experiments": M.mart_experiments(s.experiment_assignments, s.experiments, outcomes, week),
     }
 
 
-def build_metrics(s: Sources, marts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def build_metrics(s: Sources, marts: Mapping[str, DataFrame], user_days: DataFrame) -> dict[str, DataFrame]:
     acq, eng = marts["mart_acquisition"], marts["mart_engagement"]
     eco, exp = marts["mart_economics"], marts["mart_experiments"]
     results = MT.experiment_results(exp)
@@ -66,9 +64,9 @@ def build_metrics(s: Sources, marts: Mapping[str, DataFrame]) -> dict[str, DataF
         "channel_performance": MT.channel_performance(acq),
         "signups_over_time": MT.signups_over_time(acq),
         "geo_distribution": MT.geo_distribution(acq),
-        "cohort_retention": MT.cohort_retention(eng, M.user_first_session(s.sessions, s.settings.week_start)),
-        "active_users": MT.active_users(eng),
-        "stickiness": MT.stickiness(eng),
+        "cohort_retention": MT.cohort_retention(user_days),
+        "active_users": MT.active_users(user_days),
+        "stickiness": MT.stickiness(user_days),
         "engagement_tiers": MT.engagement_tiers(eng),
         "device_mix": MT.device_mix(s.sessions),
         "mrr_trend": MT.mrr_trend(eco),
@@ -82,7 +80,7 @@ def build_metrics(s: Sources, marts: Mapping[str, DataFrame]) -> dict[str, DataF
         "experiment_results": results,
         "experiment_lift": MT.experiment_lift(results),
         "experiment_significance": MT.experiment_significance(results),
-        "kpi_tiles": MT.kpi_tiles(acq, eco, eng),
+        "kpi_tiles": MT.kpi_tiles(acq, eco, user_days),
     }
 
 
@@ -99,9 +97,6 @@ def run_pipeline(
     folder. Re-running replaces every table, so a second run over the same
     inputs gives the same tables.
     """
-    from churnlab.plans.registry import FIXTURE_CHANNELS
-    from churnlab.sources.lookups import ACCEPTED_STATUSES
-
     spark: SparkSession = s.spark
     if output_dir is None:
         output_dir = os.path.join(ensure_checkpoint_dir(spark), "churnlab-pipeline", spark.sparkContext.applicationId)
@@ -115,13 +110,14 @@ def run_pipeline(
         write_table(df, path, fmt=fmt, partition_by=MART_PARTITIONS[name])
         return spark.read.format(fmt).load(path)
 
-    # Engagement first: the experiments mart reuses its user-day rows.
-    engagement = materialise("mart_engagement", M.mart_engagement(s.users, s.sessions, s.settings.week_start))
-    for name, df in build_marts(s, engagement).items():
-        res.marts[name] = engagement if name == "mart_engagement" else materialise(name, df)
+    # User-days first: the engagement mart is a view of them, and retention and
+    # the active-user metrics read them.
+    user_days = materialise("user_days", M.user_days(s.users, s.sessions, s.settings.week_start))
+    for name, df in build_marts(s, user_days).items():
+        res.marts[name] = df if name == "mart_engagement" else materialise(name, df)
     register_views(res.marts)
 
-    for name, df in build_metrics(s, res.marts).items():
+    for name, df in build_metrics(s, res.marts, user_days).items():
         path = os.path.join(output_dir, "metrics", name)
         write_table(df, path, fmt=fmt)
         res.metrics[name] = spark.read.format(fmt).load(path)
@@ -129,7 +125,7 @@ def run_pipeline(
     tables = dict(staging)
     tables.update(res.marts)
     tables["channel_cac"] = s.channel_cac
-    suite = C.reference_suite(accepted_channels or FIXTURE_CHANNELS, accepted_statuses or ACCEPTED_STATUSES)
+    suite = C.full_suite(accepted_channels or s.accepted_channels, accepted_statuses or ACCEPTED_STATUSES)
     report_path = os.path.join(output_dir, "quality_report")
     write_table(C.quality_report(tables, suite), report_path, fmt=fmt)
     res.quality = spark.read.format(fmt).load(report_path)

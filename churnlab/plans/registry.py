@@ -2,28 +2,29 @@
 
 ``QUERIES[name](sources) -> DataFrame``. Every query reads the source
 tables (which the fixture adapters derive from the test tables), so its work
-grows with them.
+grows with them. Only the queries named in ``SINKS`` run jobs when called: they
+write a table and read it back.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from churnlab.operators.core import anti_orphans
 from churnlab.plans import checks as C
 from churnlab.plans import content as CT
 from churnlab.plans import lifecycle as L
 from churnlab.plans import metrics as MT
 from churnlab.plans import models as M
-from churnlab.plans.experiments import experiment_eligibility, experiment_effects
-from churnlab.operators.core import anti_orphans
+from churnlab.plans.experiments import experiment_effects, experiment_eligibility
+from churnlab.session import ensure_checkpoint_dir
 from churnlab.sources.fixtures import Sources
-from churnlab.sources.io import conform, load_audit
-from churnlab.sources.lookups import ACCEPTED_STATUSES, DEVICES, FIXTURE_TRIAL_EXPERIMENT
-
-# Channel domain of the test tables (the five customer market segments).
-FIXTURE_CHANNELS = ["automobile", "building", "furniture", "household", "machinery"]
+from churnlab.sources.io import conform, load_audit, read_csv_table, write_table
+from churnlab.sources.lookups import ACCEPTED_STATUSES, DEVICES
 
 
 def _acq(s: Sources, week: str | None = None) -> DataFrame:
@@ -32,10 +33,18 @@ def _acq(s: Sources, week: str | None = None) -> DataFrame:
     )
 
 
+def _profile(s: Sources) -> DataFrame:
+    return M.acquisition_profile(s.users, s.events, s.channel_cac, s.settings.week_start)
+
+
 def _eng(s: Sources, week: str | None = None) -> DataFrame:
     return M.mart_engagement(s.users, s.sessions, week or s.settings.week_start)
 
 
+def _days(s: Sources) -> DataFrame:
+    return M.user_days(s.users, s.sessions, s.settings.week_start)
+
+
 def _eco(s: Sources, cap="settings") -> DataFrame:
     return M.mart_economics(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings, cap)
 
@@ -45,9 +54,32 @@ def _outcomes(s: Sources) -> DataFrame:
 
 
 def _exp(s: Sources, week: str | None = None) -> DataFrame:
-    return M.mart_experiments(
-        s.experiment_assignments, s.experiments, _outcomes(s), week or s.settings.week_start, lookups_bounded=True
-    )
+    outcomes = M.assigned_outcomes(s.experiment_assignments, s.users, s.subscriptions, s.sessions)
+    return M.mart_experiments(s.experiment_assignments, s.experiments, outcomes, week or s.settings.week_start)
+
+
+def _table_folder(s: Sources, name: str) -> str:
+    return f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/churnlab-tables/{name}-{uuid.uuid4().hex}"
+
+
+def _csv_round_trip(s: Sources, df: DataFrame, name: str, infer_schema: bool = False) -> DataFrame:
+    """Write as CSV with a header and read back: with the declared types, or
+    inferred and then cast."""
+    folder = _table_folder(s, name)
+    write_table(df, folder, fmt="csv")
+    if not infer_schema:
+        return read_csv_table(s.spark, folder, schema=df.schema)
+    back = read_csv_table(s.spark, folder, infer_schema=True)
+    return back.select(*[F.col(f.name).cast(f.dataType) for f in df.schema])
+
+
+def _written_economics(s: Sources) -> DataFrame:
+    """The economics mart as a table by month, rebuilt over an older one."""
+    folder = _table_folder(s, "mart_economics")
+    write_table(_eco(s, None), folder, partition_by=["active_month"])
+    mart = _eco(s)
+    write_table(mart, folder, partition_by=["active_month"])
+    return s.spark.read.parquet(folder).select(*mart.columns)
 
 
 def staging(s: Sources) -> dict[str, DataFrame]:
@@ -68,7 +100,7 @@ def all_tables(s: Sources) -> dict[str, DataFrame]:
 
 
 def _quality(s: Sources) -> DataFrame:
-    return C.quality_report(all_tables(s), C.reference_suite(FIXTURE_CHANNELS, ACCEPTED_STATUSES))
+    return C.quality_report(all_tables(s), C.full_suite(s.accepted_channels, ACCEPTED_STATUSES))
 
 
 QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
@@ -100,7 +132,11 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "vw_experiments": lambda s: _exp(s, "monday"),
     # plain operator families
     "load_audit": lambda s: load_audit(s.tables()),
-    "check_row_counts": lambda s: load_audit(s.tables()),
+    "csv_users": lambda s: _csv_round_trip(s, conform(s.users, "users"), "users"),
+    "csv_subscriptions_inferred": lambda s: _csv_round_trip(
+        s, conform(s.subscriptions, "subscriptions"), "subscriptions", infer_schema=True
+    ),
+    "written_economics": _written_economics,
     "range_join_months": lambda s: M.range_join_months(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings),
     "orphan_keys": lambda s: anti_orphans(s.subscriptions.select("subscription_id", "user_id"), s.users, "user_id"),
     # Paying user ids are de-duplicated (map-side) before the semi join, so a
@@ -110,19 +146,20 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     ),
     # data-quality checks
     "check_unique": lambda s: C.check_unique(s.sessions, "session_id"),
-    "check_composite_key": lambda s: C.check_unique(s.raw["lineitem"], ["l_orderkey", "l_linenumber"]),
+    "check_composite_key": lambda s: C.check_unique(s.experiment_assignments, ["experiment_id", "user_id"]),
     "check_not_null": lambda s: C.check_not_null(conform(s.users, "users")),
     "check_accepted_values": lambda s: C.check_accepted_values(s.sessions, "device", DEVICES),
     "check_relationship": lambda s: C.check_relationship(s.subscriptions, "user_id", s.users, "user_id"),
+    "load_constraints": lambda s: C.load_constraints(s.tables() | {"channel_cac": s.channel_cac}),
     "quality_report": _quality,
     # dashboard metrics
-    "funnel_summary": lambda s: MT.funnel_summary(_acq(s)),
-    "channel_performance": lambda s: MT.channel_performance(_acq(s)),
-    "signups_over_time": lambda s: MT.signups_over_time(_acq(s)),
-    "geo_distribution": lambda s: MT.geo_distribution(_acq(s)),
-    "cohort_retention": lambda s: MT.cohort_retention(_eng(s), M.user_first_session(s.sessions)),
-    "active_users": lambda s: MT.active_users(_eng(s)),
-    "stickiness": lambda s: MT.stickiness(_eng(s)),
+    "funnel_summary": lambda s: MT.funnel_summary(_profile(s)),
+    "channel_performance": lambda s: MT.channel_performance(_profile(s)),
+    "signups_over_time": lambda s: MT.signups_over_time(_profile(s)),
+    "geo_distribution": lambda s: MT.geo_distribution(_profile(s)),
+    "cohort_retention": lambda s: MT.cohort_retention(_days(s)),
+    "active_users": lambda s: MT.active_users(_days(s)),
+    "stickiness": lambda s: MT.stickiness(_days(s)),
     "engagement_tiers": lambda s: MT.engagement_tiers(_eng(s)),
     "device_mix": lambda s: MT.device_mix(s.sessions),
     "mrr_trend": lambda s: MT.mrr_trend(_eco(s)),
@@ -135,19 +172,20 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "experiment_results": lambda s: MT.experiment_results(_exp(s)),
     "experiment_lift": lambda s: MT.experiment_lift(MT.experiment_results(_exp(s))),
     "experiment_significance": lambda s: MT.experiment_significance(MT.experiment_results(_exp(s))),
-    "kpi_tiles": lambda s: MT.kpi_tiles(_acq(s), _eco(s), _eng(s)),
+    "kpi_tiles": lambda s: MT.kpi_tiles(_profile(s), _eco(s), _days(s)),
     # table rules from the generator
-    "experiment_eligibility": lambda s: experiment_eligibility(s.users, s.experiments, lookups_bounded=True),
+    "experiment_eligibility": lambda s: experiment_eligibility(s.users, s.experiments),
     "assign_variants": lambda s: s.experiment_assignments,
     "normalized_mrr": lambda s: L.normalized_mrr(s.subscriptions, s.plans),
     "subscription_status": lambda s: L.subscription_status(s.subscriptions),
     "trial_period": lambda s: L.trial_period(
-        s.subscriptions, s.experiment_assignments, s.experiments, FIXTURE_TRIAL_EXPERIMENT
+        s.subscriptions, s.experiment_assignments, s.experiments, s.trial_experiment
     ),
     "lifecycle_events": lambda s: L.lifecycle_events(s.users, s.subscriptions),
-    "experiment_effects": lambda s: experiment_effects(
-        s.users, s.experiment_assignments, s.experiment_effects, lookups_bounded=True
-    ),
+    "experiment_effects": lambda s: experiment_effects(s.users, s.experiment_assignments, s.experiment_effects),
     "content_completion": lambda s: CT.content_completion(s.content_views, s.content_catalog),
     "retention_by_segment": lambda s: CT.retention_by_segment(_outcomes(s), s.content_views, s.content_catalog),
 }
+
+# Queries that write when they are called.
+SINKS = ("csv_users", "csv_subscriptions_inferred", "written_economics")

@@ -8,7 +8,6 @@ platform and only ``ensure_checkpoint_dir`` is used.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -63,21 +62,14 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for written tables: the one that spark.checkpoint.dir names.
 
-    The cluster's setting always wins. Only when it is unset *and* Spark runs
-    in local mode (tests, local runs) is ``fallback`` - or a fresh scratch
-    folder - used and recorded in the session, so later calls agree. On a
-    cluster an unset folder is an error: a machine-local folder would not be
-    visible to the executors.
+    The session's setting always wins. Where it is unset, ``fallback`` (tests
+    give one) or else a folder inside the session's warehouse, which a cluster
+    shares as well, is used and recorded in the session, so later calls agree.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        configured = fallback or tempfile.mkdtemp(prefix="churnlab-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = fallback or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/churnlab-checkpoints"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder

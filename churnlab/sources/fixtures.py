@@ -3,11 +3,12 @@
 The test tables are a star schema (customer, nation, orders, lineitem, part)
 plus an event log, not subscription data. Each source is derived from them
 with plain column expressions, over the *whole* input tables, so work grows
-with the data. Keys stay bigint.
+with the data. Keys stay bigint. Some rows depart from the rules on purpose, so
+that operators which differ also differ in results (FIXTURES.md section 2).
 
 users          customer join nation (one row per customer)
-subscriptions  orders (one per order)
-events         events (event types mapped onto the funnel's)
+subscriptions  orders (one per order; some of users that do not exist)
+events         events (event types mapped onto the funnel's, by user)
 sessions       lineitem join orders (one per line)
 content_views  lineitem join orders (one per line)
 content_catalog part
@@ -17,33 +18,27 @@ experiment_assignments  users x experiment windows, md5 inclusion + split
 
 from __future__ import annotations
 
-import hashlib
-import os
-import threading
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.functions.dates import add_days, add_days_ts, date_lit, day_diff
-from churnlab.operators.core import lookup_join
 from churnlab.plans.experiments import assign_variants, experiment_eligibility, experiment_variants
-from churnlab.session import ensure_checkpoint_dir
 from churnlab.settings import FIXTURE_SETTINGS, Settings
 from churnlab.sources.lookups import (
+    ACCEPTED_CHANNELS,
     FIXTURE_CHANNEL_CAC,
+    FIXTURE_CHANNELS,
+    FIXTURE_EFFECTS,
     FIXTURE_EXPERIMENTS,
+    FIXTURE_TRIAL_EXPERIMENT,
     channel_cac_df,
     experiment_definitions_df,
     experiment_effects_df,
     plans_df,
 )
 
-TEST_TABLES = (
-    "region nation customer supplier part orders lineitem events "
-    "documents embeddings pages benchmark labels conversations"
-).split()
-
 # ---------------------------------------------------------------------------
 # Fixed values of the adapters (FIXTURES.md section 2).
 SIGNUP_EPOCH = "1995-01-01"      # sign-up dates start here
@@ -52,18 +47,28 @@ SESSION_EPOCH = "1995-01-01"     # session dates are folded into
 SESSION_SPAN_DAYS = 547          # ... this many days from the epoch
 DEVICE_BY_MOD3 = ("A", "N", "R")  # primary device by custkey % 3 (the line return flags)
 ORDER_STATUS = {"F": "churned", "O": "active", "P": "trial_expired"}
-EVENT_STAGE = {  # test event type -> funnel event type
-    "signup": "signup_completed",
-    "view": "trial_started",
-    "error": "paywall_view",
-    "click": "subscribe_clicked",
-    "purchase": "subscribed",
+# test event type -> (funnel event type, n, r): events of users with
+# user_id % n = r are page views instead, so each stage has its own users.
+EVENT_STAGE = {
+    "signup": ("signup_completed", 1, 1),
+    "view": ("trial_started", 7, 0),
+    "error": ("paywall_view", 4, 1),
+    "click": ("subscribe_clicked", 3, 2),
+    "purchase": ("subscribed", 2, 1),
 }
+UNKNOWN_USER = (50, 7)   # orders with o_orderkey % 50 = 7 belong to user -o_custkey
+STALE_STATUS = (23, 0)   # ended ones with o_orderkey % 23 = 0 are stored as active
+LOWER_MRR = (19, 3)      # paid ones with o_orderkey % 19 = 3 pay one less
+LOGGED_TWICE = (83, 5)   # assignments of users with user_id % 83 = 5 stand twice
 # ---------------------------------------------------------------------------
 
 
 def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _falls(key, rule: tuple[int, int]):
+    return key % rule[0] == rule[1]
 
 
 def _case(col: str, mapping: dict[str, str]):
@@ -79,9 +84,7 @@ def users_from(customer: DataFrame, nation: DataFrame) -> DataFrame:
     signup_date = add_days(date_lit(SIGNUP_EPOCH), ((key * 37) % SIGNUP_SPREAD_DAYS).cast("int"))
     device = F.element_at(F.array(*[F.lit(d) for d in DEVICE_BY_MOD3]), (key % 3).cast("int") + 1)
     nations = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name"))
-    # nation is a fixed 25-row dimension; the bounded check decides the broadcast.
-    joined = lookup_join(customer, nations, "c_nationkey", how="inner")
-    return joined.select(
+    return customer.join(nations, "c_nationkey").select(
         key.alias("user_id"),
         signup_date.alias("signup_date"),
         signup_date.cast("timestamp_ntz").alias("signup_timestamp"),
@@ -101,22 +104,24 @@ def subscriptions_from(orders: DataFrame, plans: DataFrame) -> DataFrame:
         F.when(st == "F", add_days_ts(started, F.lit(30) * (F.lit(1) + key % 24)))
         .when(st == "P", add_days_ts(started, 7))
     )
-    price = (
+    listed = (
         F.when(F.col("billing_period") == "annual", F.round(F.col("price_monthly") / 12, 2))
         .otherwise(F.col("price_monthly"))
         .cast("decimal(8,2)")
     )
+    price = F.when(_falls(F.col("subscription_id"), LOWER_MRR), listed - 1).otherwise(listed).cast("decimal(8,2)")
+    status = F.when((st == "F") & _falls(key, STALE_STATUS), F.lit("active")).otherwise(_case("o_orderstatus", ORDER_STATUS))
     base = orders.select(
         key.alias("subscription_id"),
-        F.col("o_custkey").alias("user_id"),
+        F.when(_falls(key, UNKNOWN_USER), -F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("user_id"),
         (F.lit(1) + key % 4).cast("int").alias("plan_id"),
-        _case("o_orderstatus", ORDER_STATUS).alias("status"),
+        status.alias("status"),
         started.alias("started_at"),
         ended.alias("ended_at"),
         (st == "P").alias("is_trial"),
         (st != "P").alias("converted_to_paid"),
     )
-    priced = base.join(F.broadcast(plans.select("plan_id", "price_monthly", "billing_period")), "plan_id", "left")
+    priced = base.join(plans.select("plan_id", "price_monthly", "billing_period"), "plan_id", "left")
     return priced.select(
         "subscription_id",
         "user_id",
@@ -131,15 +136,14 @@ def subscriptions_from(orders: DataFrame, plans: DataFrame) -> DataFrame:
 
 
 def events_from(events: DataFrame) -> DataFrame:
-    return events.select(
-        F.col("event_id"),
-        F.col("user_id"),
-        F.coalesce(_case("event_type", EVENT_STAGE), F.col("event_type")).alias("event_type"),
-        F.col("ts").cast("timestamp_ntz").alias("event_timestamp"),
-    )
+    kind = F.col("event_type")
+    for name, (stage, n, r) in EVENT_STAGE.items():
+        seen = F.when(_falls(F.col("user_id"), (n, r)), F.lit("page_view")).otherwise(F.lit(stage))
+        kind = F.when(F.col("event_type") == name, seen).otherwise(kind)
+    return events.select("event_id", "user_id", kind.alias("event_type"), F.col("ts").cast("timestamp_ntz").alias("event_timestamp"))
 
 
-def _lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def lines_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """lineitem with its order's customer and the folded session date."""
     epoch = date_lit(SESSION_EPOCH)
     folded = add_days(epoch, day_diff(F.col("l_shipdate"), epoch) % SESSION_SPAN_DAYS)
@@ -155,8 +159,7 @@ def _lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def sessions_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    lines = _lines(lineitem, orders)
+def sessions_from(lines: DataFrame) -> DataFrame:
     return lines.select(
         F.col("line_id").alias("session_id"),
         "user_id",
@@ -167,8 +170,7 @@ def sessions_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def content_views_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    lines = _lines(lineitem, orders)
+def content_views_from(lines: DataFrame) -> DataFrame:
     pct = (F.col("l_discount") * 10).cast("decimal(4,2)")
     return lines.select(
         F.col("line_id").alias("view_id"),
@@ -209,9 +211,10 @@ class Sources:
     experiments: DataFrame
     experiment_assignments: DataFrame
     channel_cac: DataFrame
-    experiment_effects: DataFrame
+    experiment_effects: DataFrame | None  # None: not given (see experiment_effects)
     settings: Settings = FIXTURE_SETTINGS
-    raw: dict[str, DataFrame] = field(default_factory=dict)
+    accepted_channels: list[str] = field(default_factory=lambda: list(ACCEPTED_CHANNELS))
+    trial_experiment: str | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -228,91 +231,29 @@ class Sources:
 
 
 def load_fixture_sources(spark: SparkSession, sf_dir: str, settings: Settings = FIXTURE_SETTINGS) -> Sources:
-    """Derive all sources from the test tables in ``sf_dir`` (lazy; no action
-    except the bounded size check on the nation dimension)."""
+    """All sources, derived lazily from the test tables in ``sf_dir``: a query
+    reads, and derives, only the columns and tables that it uses. Nothing runs,
+    and nothing is kept between queries."""
     raw = {t: read_test_table(spark, sf_dir, t) for t in ("customer", "nation", "orders", "lineitem", "part", "events")}
     plans = plans_df(spark)
     users = users_from(raw["customer"], raw["nation"])
     experiments = experiment_variants(experiment_definitions_df(spark, FIXTURE_EXPERIMENTS))
-    # The experiment tables are inline literals: bounded by construction.
-    assignments = assign_variants(
-        experiment_eligibility(users, experiments, lookups_bounded=True), experiments, lookups_bounded=True
-    )
+    assignments = assign_variants(experiment_eligibility(users, experiments), experiments)
+    lines = lines_from(raw["lineitem"], raw["orders"])
     return Sources(
         spark=spark,
         users=users,
         plans=plans,
         subscriptions=subscriptions_from(raw["orders"], plans),
         events=events_from(raw["events"]),
-        sessions=sessions_from(raw["lineitem"], raw["orders"]),
+        sessions=sessions_from(lines),
         content_catalog=content_catalog_from(raw["part"]),
-        content_views=content_views_from(raw["lineitem"], raw["orders"]),
+        content_views=content_views_from(lines),
         experiments=experiments,
-        experiment_assignments=assignments,
+        experiment_assignments=assignments.union(assignments.where(_falls(F.col("user_id"), LOGGED_TWICE))),
         channel_cac=channel_cac_df(spark, FIXTURE_CHANNEL_CAC),
-        experiment_effects=experiment_effects_df(spark, FIXTURE_EXPERIMENTS),
+        experiment_effects=experiment_effects_df(spark, FIXTURE_EFFECTS),
         settings=settings,
-        raw=raw,
+        accepted_channels=list(FIXTURE_CHANNELS),
+        trial_experiment=FIXTURE_TRIAL_EXPERIMENT,
     )
-
-
-# Derived source tables written once per session (the "load" step). Inline
-# lookups stay literal.
-MATERIALIZED = (
-    "users",
-    "subscriptions",
-    "events",
-    "sessions",
-    "content_catalog",
-    "content_views",
-    "experiment_assignments",
-)
-
-_SESSION_SOURCES: dict[tuple, Sources] = {}
-_SESSION_LOCK = threading.Lock()
-
-
-def materialize_sources(src: Sources, folder: str) -> Sources:
-    """Write the derived source tables as parquet under ``folder`` and read
-    them back, like loading raw files into warehouse tables before modelling.
-
-    The written tables cut the adapter lineage (a lost executor recomputes
-    from the files, not from the test tables) and give scans one task per
-    file. When a table comes from fewer input files than there are task slots
-    (the test tables are single files) it is spread over the slots first; a
-    table read from many files is written as it is, without a shuffle.
-    """
-    spark = src.spark
-    slots = spark.sparkContext.defaultParallelism
-    loaded = {}
-    for name in MATERIALIZED:
-        df = getattr(src, name)
-        if len(df.inputFiles()) < slots:
-            df = df.repartition(slots)
-        path = f"{folder.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        loaded[name] = spark.read.parquet(path)
-    return replace(src, **loaded)
-
-
-def session_sources(spark: SparkSession, sf_dir: str, settings: Settings = FIXTURE_SETTINGS) -> Sources:
-    """Sources for ``sf_dir``, derived and written once per Spark application
-    into the shared checkpoint folder (``spark.checkpoint.dir``), then reused
-    by every query of the session.
-
-    A session that offers no JVM-side context to write through (e.g. a remote
-    client session) gets the lazily derived sources instead; results are the
-    same, only recomputed per query.
-    """
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - no SparkContext on this kind of session
-        return load_fixture_sources(spark, sf_dir, settings)
-    key = (app, os.path.abspath(sf_dir), settings)
-    with _SESSION_LOCK:  # queries started from several threads write once
-        if key not in _SESSION_SOURCES:
-            base = ensure_checkpoint_dir(spark)
-            tag = hashlib.md5(repr(key).encode()).hexdigest()[:12]
-            folder = f"{base.rstrip('/')}/churnlab-sources/{app}/{tag}"
-            _SESSION_SOURCES[key] = materialize_sources(load_fixture_sources(spark, sf_dir, settings), folder)
-        return _SESSION_SOURCES[key]

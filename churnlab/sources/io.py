@@ -6,8 +6,10 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from churnlab.operators.core import union_all
 from churnlab.sources.schemas import SCHEMAS, SOURCE_TABLES, STAGING_COLUMNS
@@ -17,12 +19,20 @@ class MissingSourceError(FileNotFoundError):
     """A source file or folder named in the load list does not exist."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Path check through Hadoop's FileSystem, so it works for any shared store."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+def require(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Raise MissingSourceError naming every path that Spark cannot read. Uses
+    the reader itself, so it works for any store and kind of session; only
+    listings are read."""
+    missing = []
+    for path in paths:
+        try:
+            spark.read.text(path)
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(path)
+    if missing:
+        raise MissingSourceError("missing source files: " + ", ".join(missing))
 
 
 def read_csv_table(
@@ -30,21 +40,21 @@ def read_csv_table(
     path: str,
     table: str | None = None,
     infer_schema: bool = False,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Header CSV -> DataFrame.
 
-    With ``table`` the declared schema is applied (types, no inference pass);
-    ``infer_schema=True`` samples the file instead, as the warehouse load did.
+    With ``table`` the declared schema is applied (types, no inference pass),
+    with ``schema`` that one; ``infer_schema=True`` samples the file instead, as the warehouse load did.
     Empty fields read as null; ``True``/``False`` parse as booleans.
     """
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
     if infer_schema:
         return reader.option("inferSchema", True).csv(path)
-    if table is None:
-        raise ValueError("give a table name for its declared schema, or infer_schema=True")
-    schema = SCHEMAS[table]
+    if table is None and schema is None:
+        raise ValueError("give a table name for its declared schema, a schema, or infer_schema=True")
     return (
-        reader.schema(schema)
+        reader.schema(schema or SCHEMAS[table])
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
@@ -64,9 +74,7 @@ def load_sources(
     """
     tables = list(tables)
     paths = {t: os.path.join(folder, f"{t}.{fmt}") for t in tables}
-    missing = [p for p in paths.values() if not _exists(spark, p)]
-    if missing:
-        raise MissingSourceError("missing source files: " + ", ".join(missing))
+    require(spark, paths.values())
     if fmt == "csv":
         return {t: read_csv_table(spark, p, t) for t, p in paths.items()}
     return {t: spark.read.parquet(p) for t, p in paths.items()}
@@ -87,9 +95,12 @@ def write_table(
     """Materialise ``df`` whole, replacing what was there (idempotent rebuild).
 
     CSV output carries a header row; parquet is the default sink. Monthly grains
-    pass ``partition_by`` so later reads prune by month.
+    pass ``partition_by`` so later reads prune by month; rows are then rebalanced
+    by those columns first, so that a month is written by few tasks (a large
+    one is split) and not by all.
     """
-    writer = df.write.mode("overwrite")
+    partition_by = list(partition_by or ())
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":

@@ -26,6 +26,7 @@ def _schema(*fields: tuple[str, object, bool]) -> StructType:
     return StructType([StructField(n, t, nullable) for n, t, nullable in fields])
 
 
+# Names, types, order, keys and staging columns of the tables.
 SCHEMAS: dict[str, StructType] = {
     "plans": _schema(
         ("plan_id", I, False),

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from churnlab.settings import Settings
 from churnlab.sources.fixtures import Sources
-from churnlab.sources.io import _exists, load_sources, read_csv_table
-from churnlab.sources.lookups import EFFECT_SCHEMA, channel_cac_df, literal_table
+from churnlab.sources.io import load_sources, read_csv_table, require
 
 
 def sources_from_files(
@@ -24,16 +23,18 @@ def sources_from_files(
     settings: Settings,
     seed_path: str | None = None,
     fmt: str = "csv",
+    effects: DataFrame | None = None,
+    trial_experiment: str | None = None,
 ) -> Sources:
-    """Load all nine source tables from ``folder`` (fails listing every missing
-    file) and the CAC seed from ``seed_path`` - by default
-    ``<folder>/channel_cac.csv`` if present, else the built-in seed values."""
+    """Load all nine source tables from ``folder`` and the CAC seed from
+    ``seed_path`` (by default ``<folder>/channel_cac.csv``); fails listing every
+    missing file. The exports hold no table of engineered experiment effects nor
+    the name of the trial-length experiment: the rules that need them raise
+    unless they are given here."""
     tables = load_sources(spark, folder, fmt=fmt)
     seed_path = seed_path or os.path.join(folder, "channel_cac.csv")
-    if _exists(spark, seed_path):
-        cac = read_csv_table(spark, seed_path, "channel_cac")
-    else:
-        cac = channel_cac_df(spark)
+    require(spark, [seed_path])
+    cac = read_csv_table(spark, seed_path, "channel_cac")
     return Sources(
         spark=spark,
         users=tables["users"],
@@ -48,7 +49,7 @@ def sources_from_files(
         ),
         experiment_assignments=tables["experiment_assignments"],
         channel_cac=cac,
-        # Engineered lifts live in the generator's configuration, not in a table.
-        experiment_effects=literal_table(spark, [], EFFECT_SCHEMA),
+        experiment_effects=effects,
         settings=settings,
+        trial_experiment=trial_experiment,
     )

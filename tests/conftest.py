@@ -24,6 +24,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def small_sources(spark):
-    from churnlab.sources.fixtures import session_sources
+    from churnlab.sources.fixtures import load_fixture_sources
 
-    return session_sources(spark, SF_SMALL)
+    return load_fixture_sources(spark, SF_SMALL)

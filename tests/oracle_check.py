@@ -103,7 +103,9 @@ def main(argv: list[str]) -> int:
     qs, sql = E.queries(), E.oracle_sql()
     con = duck_connect(sf_dir)
     bad = 0
-    for name in wanted or list(qs):
+    from churnlab.plans.registry import QUERIES as registered
+
+    for name in wanted or list(registered):
         if name not in sql:
             print(f"{name:28s} NO ORACLE")
             continue

@@ -130,12 +130,13 @@ def test_invariants_on_test_tables(small_sources):
 
 def test_experiment_variants_and_eligibility(spark):
     from churnlab.plans.experiments import experiment_eligibility, experiment_variants
-    from churnlab.sources.lookups import FIXTURE_EXPERIMENTS, experiment_definitions_df
+    from churnlab.sources.lookups import experiment_definitions_df
 
-    exps = experiment_variants(experiment_definitions_df(spark, FIXTURE_EXPERIMENTS))
+    definitions = [("x", "X", D(1995, 6, 1), D(1995, 12, 31), ["control_a", "b", "c"]),
+                   ("y", "Y", D(1996, 1, 1), D(1996, 5, 31), ["control_y", "z"])]
+    exps = experiment_variants(experiment_definitions_df(spark, definitions))
     rows = sorted((r.experiment_id, r.variant, r.is_control) for r in exps.collect())
-    assert rows == [("exp_a", "control_a", True), ("exp_a", "treatment_a", False),
-                    ("exp_b", "control_b", True), ("exp_b", "treatment_b", False)]
+    assert rows == [("x", "b", False), ("x", "c", False), ("x", "control_a", True), ("y", "control_y", True), ("y", "z", False)]
     users = spark.createDataFrame(
         [(1, D(1995, 6, 1), T(1995, 6, 1)), (2, D(1995, 12, 31), T(1995, 12, 31)),
          (3, D(1995, 12, 31), T(1995, 12, 31, 9)), (4, D(1995, 5, 31), T(1995, 5, 31, 23))],
@@ -143,4 +144,35 @@ def test_experiment_variants_and_eligibility(spark):
     )
     got = sorted((r.experiment_id, r.user_id) for r in experiment_eligibility(users, exps).collect())
     # closed on timestamps: the last day counts only at midnight
-    assert got == [("exp_a", 1), ("exp_a", 2)]
+    assert got == [("x", 1), ("x", 2)]
+
+
+def test_three_variants_are_split_evenly(spark):
+    from churnlab.plans.experiments import assign_variants
+
+    exps = spark.createDataFrame([("x", v, v == "control") for v in ("control", "m", "n")], "experiment_id string, variant string, is_control boolean")
+    eligible = spark.range(60_000).select(F.lit("x").alias("experiment_id"), F.col("id").alias("user_id"), F.lit(T(2024, 1, 1)).alias("signup_timestamp"))
+    got = assign_variants(eligible, exps, inclusion_pct=100).groupBy("variant").count().collect()
+    # 34/33/33 of a hundred buckets would be 400 off.
+    assert len(got) == 3 and all(abs(r["count"] - 20_000) < 350 for r in got)
+
+
+def test_range_join_equals_theta_join(small_sources):
+    s = small_sources
+    paid = M.paid_subscriptions(s.subscriptions, s.users, s.plans, s.channel_cac)
+    spine = M.month_spine(s.subscriptions, s.users, s.plans, s.settings)
+    last = F.trunc(F.coalesce(F.to_date("ended_at"), F.lit(str(s.settings.as_of)).cast("date")), "month")
+    theta = paid.join(spine, (F.col("active_month") >= F.col("sub_start_month")) & (F.col("active_month") <= last))
+    expected = theta.groupBy("subscription_id").count().collect()
+    found = M.range_join_months(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings).groupBy("subscription_id").count()
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in expected}
+
+
+def test_first_day_flags(spark):
+    days = [D(2024, 1, 30), D(2024, 1, 31), D(2024, 2, 1), D(2024, 2, 4), D(2024, 2, 14), D(2024, 2, 15)]
+    sessions = spark.createDataFrame([(1, d, 5, "A") for d in days * 2] + [(2, days[3], 5, None)],
+                                     "user_id bigint, session_date date, duration_minutes int, device string")
+    rows = [r for r in M.engagement_days(sessions).sort("user_id", "session_date").collect() if r.user_id == 1]
+    assert [r.first_of_session_month for r in rows] == [True, False, True, False, False, False]
+    assert [r.first_of_session_week for r in rows] == [True, False, False, True, True, False]  # Sunday 4 Feb starts a week
+    assert [r.first_of_retention_bucket for r in rows] == [True, True, False, False, True, False]  # D0, D1-6, D14-29

@@ -9,8 +9,7 @@ from churnlab.operators import (
     anti_orphans,
     daily_activity,
     first_per_key,
-    is_bounded,
-    lookup_join,
+    orphan_keys,
     retention_flags,
     stage_flags,
 )
@@ -116,18 +115,28 @@ def test_active_months_edges(spark):
     assert u[5] == [D(2024, 1, 1), D(2024, 2, 1), D(2024, 3, 1)]
 
 
-def test_lookup_join_broadcasts_bounded_side(spark):
-    facts = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
-    dim = spark.createDataFrame([(0, "a"), (1, "b")], "k bigint, name string")
-    assert is_bounded(dim, 10) and not is_bounded(facts, 10)
-    out = lookup_join(facts, dim, "k", how="left")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    assert out.where(F.col("name").isNull()).count() == 333
-
-
 def test_anti_orphans(spark):
     parent = spark.createDataFrame([(1,), (2,)], "user_id bigint")
     child = spark.createDataFrame([(10, 1), (11, 3), (12, None)], "sid bigint, user_id bigint")
     got = [r.sid for r in anti_orphans(child, parent, "user_id").collect()]
     assert got == [11]
+    assert [r.user_id for r in orphan_keys(child, parent, "user_id").collect()] == [3]
+
+
+def test_orphans_of_a_hot_unknown_key_are_joined_by_key(spark):
+    parent = spark.createDataFrame([(1,), (2,)], "user_id bigint")
+    child = spark.range(300).select(F.col("id").alias("sid"), F.when(F.col("id") % 3 == 0, 7).otherwise(1).cast("bigint").alias("user_id"))
+    assert {r.sid for r in anti_orphans(child, parent, "user_id").collect()} == {i for i in range(300) if i % 3 == 0}
+    keys = orphan_keys(child, parent, "user_id")
+    assert [r.user_id for r in keys.collect()] == [7]
+    # Keys are reduced to one row each before they are shuffled to the anti join.
+    plan = keys._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("Aggregate [user_id")
+
+
+def test_stage_flags_tell_every_stage_apart(spark):
+    """One user per stage, with an event of only that stage."""
+    users = spark.createDataFrame([(i,) for i in range(6)], "user_id bigint")
+    events = spark.createDataFrame(list(enumerate(FUNNEL_STAGES.values())), "user_id bigint, event_type string")
+    out = {r.user_id: [r[f] for f in FUNNEL_STAGES] for r in stage_flags(users, events, FUNNEL_STAGES).collect()}
+    assert out == {i: [int(i == j) for j in range(5)] for i in range(6)}

@@ -4,15 +4,16 @@ the driver contract of ``__spark_entry__``."""
 import pytest
 
 import __spark_entry__ as E
+from churnlab.plans.registry import QUERIES as REGISTERED
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck_connect
 
-QUERIES = E.queries()
+QUERIES = {name: E.queries()[name] for name in REGISTERED}
 SQL = E.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

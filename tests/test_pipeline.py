@@ -19,9 +19,9 @@ def test_pipeline_rerun_is_stable_and_matches_queries(spark, small_sources):
     second = run_pipeline(small_sources, os.path.join(base, "a"))  # overwrite in place
     assert os.path.isdir(os.path.join(base, "a", "mart_economics"))
     assert any(d.startswith("active_month=") for d in os.listdir(os.path.join(base, "a", "mart_economics")))
-    for name in ("mart_acquisition", "mart_economics", "mart_experiments"):
+    for name in ("mart_acquisition", "mart_engagement", "mart_economics", "mart_experiments"):
         assert _rows(second.marts[name]) == _rows(QUERIES[name](small_sources))
-    for name in ("mrr_trend", "funnel_summary", "kpi_tiles"):
+    for name in ("mrr_trend", "funnel_summary", "active_users", "cohort_retention", "kpi_tiles"):
         assert _rows(second.metrics[name]) == _rows(QUERIES[name](small_sources))
-    assert second.quality.count() == 37
+    assert second.quality.count() == 39
     assert first.output_dir == second.output_dir

@@ -53,6 +53,10 @@ def test_flags_and_retention_with_hot_user(spark):
     df, pdf = _sessions(spark)
     users = spark.createDataFrame([(u, dt.date(2023, 12, 25)) for u in range(98)], "user_id bigint, signup_date date")
     ret = {r.user_id: (r.retained_d7, r.retained_d30) for r in retention_flags(users, df, RETENTION_WINDOWS).collect()}
+    profile = users.selectExpr("*", "cast(signup_date as timestamp_ntz) as signup_timestamp", "'c' as acquisition_channel", "'x' as country", "'A' as primary_device")
+    no_subs = spark.createDataFrame([], "user_id bigint, converted_to_paid boolean, mrr decimal(8,2)")
+    outcomes = M.user_outcomes(profile, no_subs, df).collect()
+    assert {r.user_id: (r.retained_d7, r.retained_d30) for r in outcomes} == ret
     for u in range(98):
         days = {(d - dt.date(2023, 12, 25)).days for d in pdf.loc[pdf.user_id == u, "session_date"]}
         assert ret[u] == (int(any(7 <= x < 14 for x in days)), int(any(30 <= x < 60 for x in days)))

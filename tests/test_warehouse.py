@@ -6,20 +6,23 @@ import os
 import tempfile
 from decimal import Decimal
 
+import pytest
+
 from churnlab.plans import checks as C
 from churnlab.plans import models as M
-from churnlab.plans.registry import all_tables
+from churnlab.plans.registry import QUERIES, all_tables
 from churnlab.settings import Settings
-from churnlab.sources.lookups import ACCEPTED_CHANNELS, ACCEPTED_STATUSES
+from churnlab.sources.io import MissingSourceError
+from churnlab.sources.lookups import ACCEPTED_CHANNELS, ACCEPTED_STATUSES, CHANNEL_CAC, EFFECT_SCHEMA, PLANS, literal_table
 from churnlab.sources.warehouse import sources_from_files
 
+
+def csv_text(header: str, rows: list[tuple]) -> str:
+    return "\n".join([header, *(",".join(map(str, row)) for row in rows)]) + "\n"
+
+
 FILES = {
-    "plans.csv": """plan_id,plan_name,price_monthly,billing_period,max_streams,resolution
-1,Basic,7.99,monthly,1,HD
-2,Standard,12.99,monthly,2,HD
-3,Premium,17.99,monthly,4,4K
-4,Annual,119.99,annual,4,4K
-""",
+    "plans.csv": csv_text("plan_id,plan_name,price_monthly,billing_period,max_streams,resolution", PLANS),
     "content_catalog.csv": """content_id,title,content_type,genre,release_year,duration_minutes,is_original
 c_0000,Alpha,series,Drama,2020,45,True
 c_0001,Beta,movie,Comedy,2019,110,False
@@ -30,12 +33,12 @@ u_0000001,2024-06-05,2024-06-05 21:40:00,paid_social,CA,smart_tv,44,b@example.co
 u_0000002,2024-06-09,2024-06-09 08:05:00,referral,UK,desktop,,
 """,
     "experiments.csv": """experiment_id,experiment_name,variant,start_date,end_date,is_control
-exp_001_trial_length,Trial Length,control_7day,2024-06-01,2024-08-31,True
-exp_001_trial_length,Trial Length,treatment_14day,2024-06-01,2024-08-31,False
+x_tour,Guided tour,control_off,2024-05-15,2024-07-20,True
+x_tour,Guided tour,tour_on,2024-05-15,2024-07-20,False
 """,
     "experiment_assignments.csv": """experiment_id,user_id,variant,assigned_at
-exp_001_trial_length,u_0000000,control_7day,2024-06-03 10:15:00
-exp_001_trial_length,u_0000001,treatment_14day,2024-06-05 21:40:00
+x_tour,u_0000000,control_off,2024-06-03 10:15:00
+x_tour,u_0000001,tour_on,2024-06-05 21:40:00
 """,
     "subscriptions.csv": """subscription_id,user_id,plan_id,status,started_at,ended_at,is_trial,converted_to_paid,mrr
 s_0000000,u_0000000,2,active,2024-06-10 11:15:00,,False,True,12.99
@@ -58,23 +61,43 @@ sess_000000003,u_0000001,2024-07-10,2024-07-10 19:00:00,130,
 v_000000000,u_0000000,sess_000000000,c_0000,2024-06-04,1.0,True
 v_000000001,u_0000000,sess_000000001,c_0001,2024-06-04,0.5,False
 """,
-    "channel_cac.csv": """acquisition_channel,channel_cac
-organic,0
-referral,5
-email,3
-affiliate,12
-display,18
-paid_social,22
-paid_search,28
-""",
+    "channel_cac.csv": csv_text("acquisition_channel,channel_cac", CHANNEL_CAC),
 }
 
 
-def test_models_from_exported_csv(spark):
+def export(*without: str) -> str:
     folder = tempfile.mkdtemp(prefix="churnlab-raw-")
     for name, text in FILES.items():
-        with open(os.path.join(folder, name), "w") as f:
-            f.write(text)
+        if name not in without:
+            with open(os.path.join(folder, name), "w") as f:
+                f.write(text)
+    return folder
+
+
+def test_missing_files_are_all_named(spark):
+    folder = export("events.csv", "users.csv")
+    with pytest.raises(MissingSourceError, match="users.csv.*events.csv"):
+        sources_from_files(spark, folder, Settings(as_of=dt.date(2025, 12, 31)))
+    with pytest.raises(MissingSourceError, match="channel_cac.csv"):
+        sources_from_files(spark, export("channel_cac.csv"), Settings(as_of=dt.date(2025, 12, 31)))
+
+
+def test_rules_without_their_input_raise(spark):
+    s = sources_from_files(spark, export(), Settings(as_of=dt.date(2025, 12, 31)))
+    for name in ("experiment_effects", "trial_period"):
+        with pytest.raises(ValueError):
+            QUERIES[name](s)
+    effects = literal_table(spark, [("x_tour", "tour_on", Decimal("0.100"), Decimal("-0.020"))], EFFECT_SCHEMA)
+    s = sources_from_files(spark, export(), s.settings, effects=effects, trial_experiment="x_tour")
+    lifts = {r.user_id: r.signup_lift for r in QUERIES["experiment_effects"](s).collect()}
+    assert lifts == {"u_0000000": 0, "u_0000001": Decimal("0.100"), "u_0000002": 0}
+    days = {r.user_id: r.trial_days for r in QUERIES["trial_period"](s).collect()}
+    assert (days["u_0000000"], days["u_0000001"]) == (7, 14)
+    assert QUERIES["check_composite_key"](s).count() == 0
+
+
+def test_models_from_exported_csv(spark):
+    folder = export()
     s = sources_from_files(spark, folder, Settings(as_of=dt.date(2025, 12, 31), cap=dt.date(2025, 6, 1)))
     acq = {r.user_id: r for r in M.mart_acquisition(
         s.users, s.events, s.subscriptions, s.plans, s.channel_cac).collect()}
@@ -92,6 +115,7 @@ def test_models_from_exported_csv(spark):
     assert (day.session_count, day.total_minutes, day.devices_list, day.engagement_tier) == (
         2, 130, "mobile,smart_tv", "power_user")
     assert eng[("u_0000001", dt.date(2024, 7, 10))].devices_list is None
-    report = C.quality_report(all_tables(s), C.reference_suite(ACCEPTED_CHANNELS, ACCEPTED_STATUSES))
+    report = C.quality_report(all_tables(s), C.full_suite(s.accepted_channels, ACCEPTED_STATUSES))
     bad = {(r.table_name, r.column_name, r.check_name): r.violations for r in report.collect() if r.violations}
-    assert bad == {}
+    assert bad == {} and s.accepted_channels == ACCEPTED_CHANNELS
+    assert not [r for r in QUERIES["load_constraints"](s).collect() if r.violations]
