@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterable
 from urllib.parse import unquote, urlparse
@@ -108,6 +109,21 @@ def split_points(df: DataFrame, key: str, parts: int) -> list:
     return sorted({r["low"] for r in ranged.collect() if r["low"] is not None})
 
 
+def _place_among(points: list, key: str, kind: str) -> Column:
+    """How many of the sorted points are at most the key: among every step-th
+    first, then among those up to the next."""
+    step = max(1, math.isqrt(len(points)))
+
+    def array(values: list) -> Column:
+        return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+
+    def reached(values: Column) -> Column:
+        return F.size(F.filter(values, lambda p: p <= F.col(key)))
+
+    coarse = reached(array(points[step - 1 :: step])) * step
+    return coarse + reached(F.slice(array(points), coarse + 1, F.lit(step)))
+
+
 def neighbour_runs(df: DataFrame, key: str, parts: int, wrap: bool = False, both_sides: bool = False) -> DataFrame:
     """Deal rows into sorted runs that also hold their neighbours from other runs.
 
@@ -121,8 +137,7 @@ def neighbour_runs(df: DataFrame, key: str, parts: int, wrap: bool = False, both
     """
     points = split_points(df, key, parts)
     kind = df.schema[key].dataType
-    bounds = F.array(*[F.lit(p).cast(kind) for p in points[1:]]) if len(points) > 1 else F.array().cast(f"array<{kind.simpleString()}>")
-    dealt = df.withColumn("run", F.size(F.filter(bounds, lambda p: p <= F.col(key))))
+    dealt = df.withColumn("run", _place_among(points[1:], key, kind.simpleString()))
     ends = sorted(tuple(r) for r in dealt.groupBy("run").agg(F.min(key), F.max(key)).collect())
     copies = [(b[1], a[0], 1) for a, b in zip(ends, ends[1:])]
     if both_sides:
