@@ -8,7 +8,7 @@ between tasks, and can be recomputed by any SQL engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.functions.scalar import hash_bucket, hash_value
@@ -38,7 +38,6 @@ def _experiment_windows(experiments: DataFrame) -> DataFrame:
     return experiments.groupBy("experiment_id").agg(
         F.min("start_date").alias("start_date"),
         F.max("end_date").alias("end_date"),
-        F.count(F.lit(1)).alias("n_variants"),
     )
 
 
@@ -84,32 +83,16 @@ def assign_variants(
     'experiment:v:user' modulo the number of variants (an even split for any
     number), controls first. ``assigned_at`` = sign-up time.
     """
-    ordered = experiments.select(
-        "experiment_id",
-        "variant",
-        (
-            F.row_number().over(
-                Window.partitionBy("experiment_id").orderBy(F.col("is_control").desc(), F.col("variant"))
-            )
-            - 1
-        ).alias("variant_index"),
-    )
-    counts = experiments.groupBy("experiment_id").agg(F.count(F.lit(1)).alias("n_variants"))
-    uid = F.col("user_id").cast("string")
-    eid = F.col("experiment_id")
-    picked = (
-        eligible.join(counts, "experiment_id")
-        .where(hash_bucket(F.concat(eid, F.lit(":"), uid)) < F.lit(inclusion_pct))
-        .withColumn(
-            "variant_index",
-            (hash_value(F.concat(eid, F.lit(":v:"), uid)) % F.col("n_variants")).cast("int"),
-        )
-    )
-    out = picked.join(ordered, ["experiment_id", "variant_index"])
-    return out.select(
+    # Controls sort first: false before true.
+    place = F.struct((~F.col("is_control")).alias("other"), "variant")
+    variants = experiments.groupBy("experiment_id").agg(F.sort_array(F.collect_list(place)).alias("variants"))
+    uid, eid = F.col("user_id").cast("string"), F.col("experiment_id")
+    index = hash_value(F.concat(eid, F.lit(":v:"), uid)) % F.size("variants")
+    included = eligible.where(hash_bucket(F.concat(eid, F.lit(":"), uid)) < F.lit(inclusion_pct))
+    return included.join(variants, "experiment_id").select(
         "experiment_id",
         "user_id",
-        "variant",
+        F.element_at("variants", (index + 1).cast("int"))["variant"].alias("variant"),
         F.col("signup_timestamp").alias("assigned_at"),
     )
 

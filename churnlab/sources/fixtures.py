@@ -18,13 +18,16 @@ experiment_assignments  users x experiment windows, md5 inclusion + split
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import time
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.functions.dates import add_days, add_days_ts, date_lit, day_diff
 from churnlab.plans.experiments import assign_variants, experiment_eligibility, experiment_variants
+from churnlab.session import ensure_checkpoint_dir
 from churnlab.settings import FIXTURE_SETTINGS, Settings
 from churnlab.sources.lookups import (
     ACCEPTED_CHANNELS,
@@ -63,6 +66,9 @@ LOGGED_TWICE = (83, 5)   # assignments of users with user_id % 83 = 5 stand twic
 # ---------------------------------------------------------------------------
 
 
+TEST_TABLES = ("customer", "nation", "orders", "lineitem", "part", "events")
+
+
 def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -215,6 +221,7 @@ class Sources:
     settings: Settings = FIXTURE_SETTINGS
     accepted_channels: list[str] = field(default_factory=lambda: list(ACCEPTED_CHANNELS))
     trial_experiment: str | None = None
+    lines: DataFrame | None = None  # of the test tables: what sessions and views are projections of
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -231,14 +238,14 @@ class Sources:
 
 
 def load_fixture_sources(spark: SparkSession, sf_dir: str, settings: Settings = FIXTURE_SETTINGS) -> Sources:
-    """All sources, derived lazily from the test tables in ``sf_dir``: a query
-    reads, and derives, only the columns and tables that it uses. Nothing runs,
-    and nothing is kept between queries."""
-    raw = {t: read_test_table(spark, sf_dir, t) for t in ("customer", "nation", "orders", "lineitem", "part", "events")}
+    """All sources, derived lazily from the test tables in ``sf_dir``; nothing runs."""
+    raw = {t: read_test_table(spark, sf_dir, t) for t in TEST_TABLES}
     plans = plans_df(spark)
     users = users_from(raw["customer"], raw["nation"])
     experiments = experiment_variants(experiment_definitions_df(spark, FIXTURE_EXPERIMENTS))
     assignments = assign_variants(experiment_eligibility(users, experiments), experiments)
+    times = F.when(_falls(F.col("user_id"), LOGGED_TWICE), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    assignments = assignments.withColumn("time", F.explode(times)).drop("time")
     lines = lines_from(raw["lineitem"], raw["orders"])
     return Sources(
         spark=spark,
@@ -246,14 +253,61 @@ def load_fixture_sources(spark: SparkSession, sf_dir: str, settings: Settings =
         plans=plans,
         subscriptions=subscriptions_from(raw["orders"], plans),
         events=events_from(raw["events"]),
+        lines=lines,
         sessions=sessions_from(lines),
         content_catalog=content_catalog_from(raw["part"]),
         content_views=content_views_from(lines),
         experiments=experiments,
-        experiment_assignments=assignments.union(assignments.where(_falls(F.col("user_id"), LOGGED_TWICE))),
+        experiment_assignments=assignments,
         channel_cac=channel_cac_df(spark, FIXTURE_CHANNEL_CAC),
         experiment_effects=experiment_effects_df(spark, FIXTURE_EFFECTS),
         settings=settings,
         accepted_channels=list(FIXTURE_CHANNELS),
         trial_experiment=FIXTURE_TRIAL_EXPERIMENT,
     )
+
+
+# Derived tables that the load step writes; lookups stay literal, sessions and
+# content views stay projections of the lines.
+WRITTEN = ("users", "subscriptions", "events", "lines", "content_catalog", "experiment_assignments")
+
+
+def write_sources(src: Sources, folder: str) -> tuple[Sources, dict[str, float]]:
+    """Write the derived tables below ``folder`` and read them back, like loading
+    raw files into warehouse tables before modelling; also the seconds that each
+    took. Rows are rebalanced, so files are of even size whatever the input's
+    were. Written assignments are derived from the written users."""
+    spark = src.spark
+    done: dict[str, DataFrame] = {}
+    seconds = {}
+    for name in WRITTEN:
+        start = time.perf_counter()
+        df = getattr(src, name)
+        df.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/{name}")
+        done[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        seconds[name] = round(time.perf_counter() - start, 3)
+    lines = done["lines"]
+    return replace(src, **done, sessions=sessions_from(lines), content_views=content_views_from(lines)), seconds
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """What tells these input files from others at the same place, from their
+    paths, sizes and times (no content is read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = files.load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TEST_TABLES])
+    print_ = F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))
+    return tuple(files.agg(F.count(F.lit(1)), print_).first())
+
+
+_LOADED: dict[tuple, Sources] = {}
+
+
+def loaded_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """The sources of ``sf_dir`` as tables, written once for an application and
+    given input files into the shared folder (spark.checkpoint.dir): the load
+    step of the queries. Other files at the same place are loaded anew."""
+    key = (spark.sparkContext.applicationId, sf_dir, _listing(spark, sf_dir))
+    if key not in _LOADED:
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/churnlab-tables/sources-{uuid.uuid4().hex}"
+        _LOADED[key], _ = write_sources(load_fixture_sources(spark, sf_dir), folder)
+    return _LOADED[key]

@@ -24,6 +24,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def small_sources(spark):
-    from churnlab.sources.fixtures import load_fixture_sources
+    from churnlab.sources.fixtures import loaded_sources
 
-    return load_fixture_sources(spark, SF_SMALL)
+    return loaded_sources(spark, SF_SMALL)

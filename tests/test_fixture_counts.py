@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from churnlab.plans import models as M
 from churnlab.plans.registry import QUERIES
-from churnlab.sources.fixtures import load_fixture_sources
+from churnlab.sources.fixtures import loaded_sources
 from churnlab.sources.lookups import FUNNEL_STAGES
 from tests.conftest import SF_MID
 
 
 def test_published_counts_at_sf001(spark):
-    s = load_fixture_sources(spark, SF_MID)
+    s = loaded_sources(spark, SF_MID)
     eng = M.mart_engagement(s.users, s.sessions)
     assert eng.count() == 57_621
     buckets = {r.retention_bucket: r["count"] for r in eng.groupBy("retention_bucket").count().collect()}

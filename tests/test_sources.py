@@ -42,3 +42,20 @@ def test_conform_and_load_audit(small_sources):
     audit = {r.table_name: r.row_count for r in load_audit(tables).collect()}
     assert audit["plans"] == 4 and audit["users"] == small_sources.users.count()
     assert set(audit) == set(tables)
+
+
+def test_sources_are_loaded_anew_when_files_change(spark, tmp_path):
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from churnlab.sources.fixtures import TEST_TABLES, loaded_sources
+    from tests.conftest import SF_SMALL
+
+    for name in TEST_TABLES:
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
+    first = loaded_sources(spark, str(tmp_path))
+    assert loaded_sources(spark, str(tmp_path)) is first
+    pq.write_table(pq.read_table(f"{SF_SMALL}/events.parquet").slice(0, 10), tmp_path / "events.parquet")
+    second = loaded_sources(spark, str(tmp_path))
+    assert (first.events.count(), second.events.count()) == (1000, 10)
