@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import chunks, picked
+from churnlab.llm.common import chunks, picked, written
 
 # The base patterns. A match of fewer characters (of its value,
 # group 2, or of all of it) is dropped.
@@ -214,7 +214,8 @@ def learn_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = picked(docs, id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     ids = rows.select("id").filter("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(fit_docs)
-    found = rows.join(F.broadcast(ids), "id", "left_semi").select("text").mapInArrow(_examples, "kind string, value string").distinct()
+    found = rows.join(F.broadcast(ids), "id", "left_semi").select("text").mapInArrow(_examples, "kind string, value string")
+    found = written(found.distinct(), "secret-examples")
     own: dict[str, list[str]] = {}
     for kind in ("", *BASE_KINDS):
         first = found.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(fit_values)
