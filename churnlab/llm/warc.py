@@ -235,7 +235,10 @@ def convert(plan: DataFrame, folder: str) -> DataFrame:
             names, counts = zip(*done) if done else ((), ())
             yield pa.RecordBatch.from_pydict({"file": pa.array(names, pa.string()), "records": pa.array(counts, pa.int64())})
 
-    return written(files.repartition("file").mapInArrow(run, "file string, records long"), "warc-files")
+    # A shuffle of its own, by number: the plan is small however much there is to
+    # convert, and partitions of so few bytes would be put together into one task.
+    parts = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(files.repartition(parts, F.xxhash64("file")).mapInArrow(run, "file string, records long"), "warc-files")
 
 
 def read_warcs(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:
