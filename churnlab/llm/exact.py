@@ -31,7 +31,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     one output row with ``copies`` above one and count in group_size.
 
     Equal keys are counted with map-side aggregation and the counts joined back,
-    so no group of copies meets in one task.
+    so no group of copies meets in one task. Lists of rows that grow with the
+    data are never broadcast: the plan is the same at every size.
     """
     rows = picked(docs, id=id_col, text=text_col).withColumn("text", whole_text("text"))
     squeezed = without_white_space(F.col("text"))
@@ -40,7 +41,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lengths = keys.groupBy("len").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("len")
     same_length = keys.join(lengths, "len", "left_semi")
     prefixes = same_length.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("len", "prefix")
-    survivors = same_length.join(prefixes, ["len", "prefix"], "left_semi").select("id").distinct()
+    survivors = same_length.join(prefixes, ["len", "prefix"], "left_semi").select("id").distinct().hint("merge")
     # Step 3: full content of the survivors only.
     full = rows.join(survivors, rows["id"].eqNullSafe(survivors["id"]), "left_semi").select(
         "id", F.length("text").alias("n_chars"), F.sha2(squeezed.cast("binary"), 256).alias("text_sha256")
@@ -86,7 +87,7 @@ def exact_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = (F.col("id").alias(other_id), F.col("text_sha256").alias(other_sha))
     same = [F.col(f"`{id_col}`").eqNullSafe(F.col(other_id)), F.col(sha) == F.col(other_sha)]
     hashed = docs.withColumn(sha, F.sha2(without_white_space(whole_text(text_col)).cast("binary"), 256))
-    left = hashed.join(groups.filter("not kept").select(*names), same, "left_anti")
+    left = hashed.join(groups.filter("not kept").select(*names).hint("merge"), same, "left_anti")
     repeated = groups.filter("kept and copies > 1").select(*names)
     if repeated.isEmpty():
         return left.drop(sha)

@@ -255,4 +255,4 @@ def near_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     groups = near_groups(docs, id_col, text_col, words_per_shingle, radius)
     gone_id = free_name(docs, "gone_id")
     gone = written(groups.filter("id <> component").select(F.col("id").alias(gone_id)).distinct(), "near-gone")
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col(gone_id), "left_anti")
+    return docs.join(gone.hint("merge"), F.col(f"`{id_col}`") == F.col(gone_id), "left_anti")
