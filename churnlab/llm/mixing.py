@@ -97,7 +97,7 @@ def temperature_weights(tokens: DataFrame, entropy: float = TARGET_ENTROPY, repe
 
 def mixture(rows: DataFrame, weights: Weights | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED, **target) -> DataFrame:
     """The order in which documents are to be seen: rows (id, source, tokens) give
-    rows (id, source, tokens, epoch, block, rank).
+    rows (id, source, tokens, epoch, block, rank). A column ``row`` is handed on.
 
     A source is seen in epochs, each a new permutation of its documents (by a
     hash of seed, epoch and id), until its budget of tokens is spent: a document
@@ -115,7 +115,8 @@ def mixture(rows: DataFrame, weights: Weights | None = None, block_tokens: int =
     source that holds most rows is summed in thousands of tasks.
     """
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
-    rows = written(rows.select("id", "source", key.alias("source_key"), F.col("tokens").cast("long").alias("tokens")), "mix-rows")
+    more = [c for c in rows.columns if c == "row"]
+    rows = written(rows.select("id", "source", key.alias("source_key"), F.col("tokens").cast("long").alias("tokens"), *more), "mix-rows")
     weights = weights or temperature_weights(rows.select("source_key", "tokens"), **target)
     blocks = max(1, -(-weights.budget // block_tokens))
     sources = weights.sources.select("source_key", F.col("tokens").alias("all_tokens"), "budget")
@@ -136,23 +137,25 @@ def mixture(rows: DataFrame, weights: Weights | None = None, block_tokens: int =
     block = F.when(F.col("all_tokens") > 0, F.floor(F.col("start") / F.col("budget") * blocks)).otherwise(by_hash)
     placed = placed.withColumn("block", F.least(block, F.lit(blocks - 1)).cast("long"))
     rank = F.row_number().over(Window.partitionBy("block").orderBy("key", "source_key", "tokens")).cast("long")
-    return placed.select("id", "source", "tokens", "epoch", "block", rank.alias("rank"))
+    return placed.select("id", "source", "tokens", "epoch", "block", rank.alias("rank"), *more)
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None, **options) -> DataFrame:
     """``mixture`` over documents; a document's tokens are its words."""
-    rows = picked(docs, id=id_col, text=text_col, source=source_col)
-    return mixture(rows.select("id", "source", count_words(whole_text("text")).alias("tokens")), **options)
+    named = {"row": row_col} if row_col else {}
+    rows = picked(docs, id=id_col, text=text_col, source=source_col, **named)
+    return mixture(rows.select("id", "source", count_words(whole_text("text")).alias("tokens"), *named), **options)
 
 
-def mixed_documents(docs: DataFrame, text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The documents of the mixture with all their columns, one row each time
     that one is seen.
 
     The input is written with a row number, by which decisions name rows even
-    where ids repeat or are missing.
+    where ids repeat or are missing; which documents are seen again depends on
+    their ids alone, not on the order of the rows.
     """
     number = free_name(docs, "mixture_row")
     numbered = written(docs.withColumn(number, F.monotonically_increasing_id()), "mix-input")
-    order = mixed(numbered, number, text_col, source_col, **options)
-    return numbered.join(order.select(F.col("id").alias(number)), number).select(*[F.col(f"`{c}`") for c in docs.columns])
+    order = mixed(numbered, id_col, text_col, source_col, number, **options)
+    return numbered.join(order.select(F.col("row").alias(number)), number).select(*[F.col(f"`{c}`") for c in docs.columns])

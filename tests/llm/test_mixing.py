@@ -71,3 +71,12 @@ def test_odd_rows(odd_docs, no_docs):
     assert set(found) == {str(r["doc_id"]) for r in odd_docs.collect()} and len(found) >= odd_docs.count()
     assert found.count("10") >= 2
     assert mixed(no_docs).count() == 0 and mixed_documents(no_docs).count() == 0
+
+
+def test_repeats_do_not_depend_on_the_order_of_rows(spark):
+    docs = spark.range(900).select(
+        F.col("id").alias("doc_id"), F.lit("two words").alias("text"), F.when(F.col("id") % 3 > 0, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("source")
+    )
+    seen = [sorted(r["doc_id"] for r in mixed_documents(d).collect()) for d in (docs.coalesce(1), docs.repartition(5, "source"), docs.orderBy(F.desc("doc_id")))]
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) > 900
+    assert seen[0] == sorted(r["id"] for r in mixed(docs).collect())
