@@ -25,15 +25,20 @@ LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: The kind of spans that are found by their format alone.
 FORMAT = "format"
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
+#: Shorter words than this are no candidates.
+LEAST_CANDIDATE = 12
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LEAST_CANDIDATE},}}")
 #: Credentials of each kind, and ordinary words, from which formats are learned;
 #: they come from the first documents by a hash of the id.
 FIT_DOCS, FIT_VALUES, FIT_LENGTH = 20_000, 1000, 80
 #: Confidence parameter of the state merging (smaller merges more).
 ALPHA = 0.05
 #: A candidate is reported from this likelihood ratio per character (natural
-#: logarithm) against ordinary words on, if it has so many digits.
-RATIO, DIGITS = 1.0, 4
+#: logarithm) against ordinary words on.
+RATIO = 1.0
+#: A start of a value of at most so many characters is kept letter by letter if this
+#: share of a kind's examples, and so many at least, begin with it.
+LITERAL, LITERAL_SHARE, LITERAL_COUNT = 8, 0.05, 5
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -67,6 +72,28 @@ def symbols_of(value: str) -> str:
     return "".join(c if c in OTHERS else name for c in value)
 
 
+def literal(start: str) -> str:
+    """Symbols that stand for just these characters."""
+    return "".join(chr(0xE000 + ord(c)) for c in start)
+
+
+def literal_starts(values: list[str]) -> list[str]:
+    """Starts of two characters and more that many of the values share, longest first."""
+    counts = Counter(v[:n] for v in values for n in range(2, min(LITERAL, len(v)) + 1))
+    least = max(LITERAL_COUNT, LITERAL_SHARE * len(values))
+    return sorted((s for s, n in counts.items() if n >= least), key=lambda s: (-len(s), s))
+
+
+def form(value: str, starts: list[str]) -> tuple[str, int]:
+    """The value's symbols, its longest known start as literal ones, and that start's length."""
+    start = next((s for s in starts if value.startswith(s)), "")
+    return literal(start) + symbols_of(value)[len(start) :], len(start)
+
+
+#: One of so many letters and digits: what a literal symbol says beyond its class.
+OF_CLASS = math.log(36)
+
+
 class Automaton:
     """A probabilistic automaton, learned by merging states of a prefix tree.
 
@@ -152,12 +179,13 @@ class Automaton:
         self.went, self.ended = [self.went[s] for s in final], [self.ended[s] for s in final]
 
     def _score_table(self) -> None:
-        options = len(SYMBOLS) + 1
+        symbols = SYMBOLS + "".join(sorted({x for went in self.went for x in went} - set(SYMBOLS)))
+        options = len(symbols) + 1
         self.other = math.log(1 / options)
         self.logs = []
         for state in range(len(self.to)):
             whole = self._total(state) + 0.1 * options
-            self.logs.append({x: math.log((self.went[state][x] + 0.1) / whole) for x in SYMBOLS} | {"": math.log((self.ended[state] + 0.1) / whole)})
+            self.logs.append({x: math.log((self.went[state][x] + 0.1) / whole) for x in symbols} | {"": math.log((self.ended[state] + 0.1) / whole)})
 
     def log_likelihood(self, example: str) -> float:
         """Natural logarithm of the probability; beyond known states, all symbols are as likely."""
@@ -174,6 +202,7 @@ class Automaton:
 class Formats:
     secret: dict[str, Automaton]
     ordinary: Automaton
+    starts: dict[str, list[str]]
 
     def ratio(self, value: str) -> float:
         """The best likelihood ratio per character of any credential format against ordinary words."""
@@ -181,6 +210,10 @@ class Formats:
             return 0.0
         symbols = symbols_of(value)
         best = max(a.log_likelihood(symbols) for a in self.secret.values())
+        for kind, automaton in self.secret.items():
+            own, n = form(value, self.starts.get(kind, []))
+            if n:
+                best = max(best, automaton.log_likelihood(own) + n * OF_CLASS)
         return (best - self.ordinary.log_likelihood(symbols)) / len(value)
 
 
@@ -217,15 +250,21 @@ def learn_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = rows.join(F.broadcast(ids), "id", "left_semi").select("text").mapInArrow(_examples, "kind string, value string")
     found = written(found.distinct(), "secret-examples")
     own: dict[str, list[str]] = {}
+    forms: dict[str, list[str]] = {}
+    starts: dict[str, list[str]] = {}
     for kind in ("", *BASE_KINDS):
         first = found.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(fit_values)
-        own[kind] = [symbols_of(r["value"]) for r in first.select("value").collect()]
-    labelled = {form for k in BASE_KINDS for form in own[k]}
-    return Formats({k: Automaton(own[k]) for k in BASE_KINDS if own[k]}, Automaton([form for form in own[""] if form not in labelled]))
+        values = [r["value"] for r in first.select("value").collect()]
+        own[kind] = [symbols_of(v) for v in values]
+        if kind:
+            starts[kind] = literal_starts(values)
+            forms[kind] = [form(v, starts[kind])[0] for v in values]
+    labelled = {x for k in BASE_KINDS for x in own[k]}
+    return Formats({k: Automaton(forms[k]) for k in BASE_KINDS if own[k]}, Automaton([x for x in own[""] if x not in labelled]), starts)
 
 
 def all_spans(text: str, formats: Formats) -> list[tuple[str, int, int, float]]:
-    """Base spans, and candidates apart from them with the format of a credential: (kind, start, end, ratio)."""
+    """Base spans, and candidates not inside of one with the format of a credential: (kind, start, end, ratio)."""
     base = base_spans(text)
     found = []
     for kind, start, end in base:
@@ -233,7 +272,7 @@ def all_spans(text: str, formats: Formats) -> list[tuple[str, int, int, float]]:
         found.append((start, BASE_KINDS.index(kind), end, kind, formats.ratio(ASSIGN.match(value).group(2) if kind == "assign" else value)))
     for m in CANDIDATE.finditer(text):
         start, end, value = m.start(), m.end(), m.group()
-        if any(s < end and start < e for _, s, e in base) or sum(map(str.isdigit, value)) < DIGITS:
+        if any(s <= start and end <= e for _, s, e in base):
             continue
         ratio = formats.ratio(value)
         if ratio >= RATIO:

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from churnlab.llm.secrets import Automaton, base_spans, digest_columns, learn_formats, scanned, symbols_of
+from churnlab.llm.secrets import Automaton, all_spans, base_spans, digest_columns, learn_formats, scanned, symbols_of
 
 HEX40 = "3f" * 20
 WORDS = "password passwd secret token api_key apikey".split()
@@ -91,3 +91,29 @@ def test_odd_rows(odd_docs, no_docs):
     found = scanned(odd_docs, learn_formats(odd_docs)).collect()
     assert len(found) == odd_docs.count() and not any(r["spans"] for r in found)
     assert scanned(no_docs, learn_formats(no_docs)).count() == 0
+
+
+def test_short_keys_without_digits_and_long_tokens_around_hex_are_scored(spark):
+    rng = random.Random(12)
+    letters, alphabet = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+    def key(n, of=alphabet):
+        return "".join(rng.choice(of) for _ in range(n))
+
+    rows = []
+    for i in range(600):
+        words = [key(rng.randint(2, 18), letters) for _ in range(30)]
+        words.insert(3, f"token={key(16)}" if i % 2 else f"secret: ghp_{key(28, alphabet + '0123456789')}")
+        rows.append((i, " ".join(words)))
+    formats = learn_formats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert "ghp_" in [s[:4] for s in formats.starts["assign"]]
+
+    def found(text):
+        return [(k, s, e) for k, s, e, _ in all_spans(text, formats)]
+
+    assert found("see QwErTyUiOpAsDfGh now") == [("format", 4, 20)]  # no digit, 16 characters
+    whole = f"ghp_{'a1' * 12}{key(4)}"
+    assert ("format", 4, 4 + len(whole)) in found(f"see {whole} now") and ("hex", 8, 32) in found(f"see {whole} now")
+    assert found("internationally understandable") == []
+    plain = "ghp_" + "b" * 28
+    assert formats.ratio(plain) > formats.ratio("xyz_" + "b" * 28) + 0.3
