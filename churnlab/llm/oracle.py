@@ -87,4 +87,27 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
-ORACLE = {"op1_mixing": MIXING, "op7_exact_dedup": EXACT_DEDUP, "op8_warc": WARC}
+HARD_NEGATIVES = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM whole a JOIN whole b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id))::INT AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLE = {"op12_hard_negatives": HARD_NEGATIVES, "op1_mixing": MIXING, "op7_exact_dedup": EXACT_DEDUP, "op8_warc": WARC}

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlab.llm import exact, html, lm, mixing, quality, secrets, simhash, sketch, spm, warc
+from churnlab.llm import alignment, exact, html, lm, mixing, negatives, packing, quality, secrets, simhash, sketch, spm, warc
 from churnlab.llm.common import table
 from churnlab.llm.oracle import ORACLE  # noqa: F401  (read by the driver's entry)
 
@@ -61,6 +62,22 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.aligned(table(spark, sf_dir, "documents"), *paths).withColumnRenamed("id", "doc_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("id") % 50 == 0)
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,5 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_html_extraction,
         op10_lm_scoring,
+        op11_alignment,
+        op12_hard_negatives,
+        op13_packing,
     )
 }
