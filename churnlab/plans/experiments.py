@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.functions.scalar import hash_bucket, hash_value
+from churnlab.operators.intervals import days, interval_join
 from churnlab.sources.lookups import EXPERIMENT_INCLUSION_PCT
 
 
@@ -47,28 +48,17 @@ def experiment_eligibility(users: DataFrame, experiments: DataFrame) -> DataFram
 
     The window is closed on timestamps: start date at midnight up to *end date
     at midnight*, so sign-ups later on the last day fall out, as in the
-    reference. The range condition becomes an equi-join: each experiment
-    window is expanded to its days (bounded by the window length) and users
-    join on their sign-up date, then the exact timestamp test is applied (a
-    hot sign-up day is split by AQE).
+    reference. An interval join with bins of a quarter: neither the windows nor
+    the sign-ups in one are bounded.
     """
-    days = _experiment_windows(experiments).select(
+    windows = _experiment_windows(experiments).select(
         "experiment_id",
-        "start_date",
-        "end_date",
-        F.explode(
-            F.when(
-                F.col("start_date") <= F.col("end_date"),
-                F.sequence("start_date", "end_date"),
-            )
-        ).alias("signup_date"),
-    )
-    joined = users.select("user_id", "signup_date", "signup_timestamp").join(days, "signup_date")
-    ts = F.col("signup_timestamp")
-    in_window = (ts >= F.col("start_date").cast("timestamp_ntz")) & (
-        ts <= F.col("end_date").cast("timestamp_ntz")
+        F.col("start_date").cast("timestamp_ntz").alias("_from"),
+        F.col("end_date").cast("timestamp_ntz").alias("_to"),
     )
-    return joined.where(in_window).select("experiment_id", "user_id", "signup_timestamp")
+    signups = users.select("user_id", "signup_timestamp")
+    found = interval_join(signups, windows, "signup_timestamp", "_from", "_to", width=91, axis=days)
+    return found.select("experiment_id", "user_id", "signup_timestamp")
 
 
 def assign_variants(

@@ -32,6 +32,7 @@ from churnlab.operators.core import (
     retention_flags,
     stage_flags,
 )
+from churnlab.operators.intervals import days, interval_join
 from churnlab.settings import Settings
 from churnlab.sources.lookups import (
     ENGAGEMENT_TIERS,
@@ -350,17 +351,19 @@ def range_join_months(
     settings: Settings,
     cap="settings",
 ) -> DataFrame:
-    """Subscription x month where start month <= month <= end month, within the
-    month spine: (subscription_id, active_month, tenure_months).
+    """Subscription x month where start month <= month <= end month: an interval join
+    of the paid subscriptions with the month spine, as the prototype view has it.
+    (subscription_id, active_month, tenure_months)
 
-    The spine runs from the earliest start month to the latest end month under
-    the cap, so it never removes a month of a subscription's own series: the
-    range join is that series, and no spine is built or joined (the theta form
-    is kept as a test).
+    The same months as the economics mart's, which generates them for each
+    subscription; here neither side is bounded by the other.
     """
-    return mart_economics(subscriptions, users, plans, channel_cac, settings, cap).select(
-        "subscription_id", "active_month", "tenure_months"
-    )
+    paid = paid_subscriptions(subscriptions, users, plans, channel_cac)
+    last = month_start(F.coalesce(as_date("ended_at"), date_lit(settings.as_of))).alias("last_month")
+    spans = paid.select("subscription_id", "sub_start_month", last)
+    spine = month_spine(subscriptions, users, plans, settings, cap)
+    found = interval_join(spine, spans, "active_month", "sub_start_month", "last_month", width=366, axis=days)
+    return found.select("subscription_id", "active_month", month_diff("active_month", "sub_start_month").alias("tenure_months"))
 
 
 def mart_experiments(

@@ -1,9 +1,10 @@
 """Build everything: staging views, materialised marts, metrics, quality report.
 
 The run follows the warehouse layout: staging and intermediate models stay
-lazy views; marts are written whole as tables (idempotent overwrite), monthly
-grains partitioned by month so dashboards prune by month; metrics and the
-data-quality report read the *written* marts. Writing the marts cuts their
+lazy views; marts are written whole and published as a new version of their
+table (readers see the old one until then), monthly grains partitioned by month
+so dashboards prune by month; metrics and the data-quality report read the
+*written* marts. Writing the marts cuts their
 lineage: a lost executor recomputes from the mart files, not from the raw
 sources, and each mart is computed once even though several metrics use it.
 """
@@ -21,8 +22,9 @@ from churnlab.plans import metrics as MT
 from churnlab.plans import models as M
 from churnlab.session import ensure_checkpoint_dir
 from churnlab.sources.fixtures import Sources
-from churnlab.sources.io import conform, register_views, write_table
+from churnlab.sources.io import conform, register_views
 from churnlab.sources.lookups import ACCEPTED_STATUSES
+from churnlab.sources.publish import publish_table, read_published
 
 # Mart -> partition columns of its table (months where the grain has one).
 MART_PARTITIONS: dict[str, tuple[str, ...]] = {
@@ -84,6 +86,11 @@ def build_metrics(s: Sources, marts: Mapping[str, DataFrame], user_days: DataFra
     }
 
 
+def _published(df: DataFrame, path: str, fmt: str, partition_by=()) -> DataFrame:
+    publish_table(df, path, fmt=fmt, partition_by=partition_by)
+    return read_published(df.sparkSession, path)
+
+
 def run_pipeline(
     s: Sources,
     output_dir: str | None = None,
@@ -94,8 +101,8 @@ def run_pipeline(
     """Write marts, then metrics and the quality report computed from them.
 
     ``output_dir`` defaults to a folder under the session's shared checkpoint
-    folder. Re-running replaces every table, so a second run over the same
-    inputs gives the same tables.
+    folder. Re-running publishes a new version of every table, so a second run over
+    the same inputs gives the same rows (``read_published``).
     """
     spark: SparkSession = s.spark
     if output_dir is None:
@@ -106,9 +113,7 @@ def run_pipeline(
     register_views(staging)
 
     def materialise(name: str, df: DataFrame) -> DataFrame:
-        path = os.path.join(output_dir, name)
-        write_table(df, path, fmt=fmt, partition_by=MART_PARTITIONS[name])
-        return spark.read.format(fmt).load(path)
+        return _published(df, os.path.join(output_dir, name), fmt, MART_PARTITIONS[name])
 
     # User-days first: the engagement mart is a view of them, and retention and
     # the active-user metrics read them.
@@ -118,15 +123,11 @@ def run_pipeline(
     register_views(res.marts)
 
     for name, df in build_metrics(s, res.marts, user_days).items():
-        path = os.path.join(output_dir, "metrics", name)
-        write_table(df, path, fmt=fmt)
-        res.metrics[name] = spark.read.format(fmt).load(path)
+        res.metrics[name] = _published(df, os.path.join(output_dir, "metrics", name), fmt)
 
     tables = dict(staging)
     tables.update(res.marts)
     tables["channel_cac"] = s.channel_cac
     suite = C.full_suite(accepted_channels or s.accepted_channels, accepted_statuses or ACCEPTED_STATUSES)
-    report_path = os.path.join(output_dir, "quality_report")
-    write_table(C.quality_report(tables, suite), report_path, fmt=fmt)
-    res.quality = spark.read.format(fmt).load(report_path)
+    res.quality = _published(C.quality_report(tables, suite), os.path.join(output_dir, "quality_report"), fmt)
     return res

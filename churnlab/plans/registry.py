@@ -20,11 +20,15 @@ from churnlab.plans import content as CT
 from churnlab.plans import lifecycle as L
 from churnlab.plans import metrics as MT
 from churnlab.plans import models as M
-from churnlab.plans.experiments import experiment_effects, experiment_eligibility
+from churnlab.plans.experiments import assign_variants, experiment_effects, experiment_eligibility
 from churnlab.session import ensure_checkpoint_dir
-from churnlab.sources.fixtures import Sources
-from churnlab.sources.io import conform, load_audit, read_csv_table, write_table
+from churnlab.sources.csv import inferred_types
+from churnlab.sources.fixtures import Sources, odd_titles_from, raw_subscriptions_from
+from churnlab.sources.gate import Gated, load_gate, read_raw
+from churnlab.sources.io import conform, load_audit, missing, read_csv_table, register_views, write_table
 from churnlab.sources.lookups import ACCEPTED_STATUSES, DEVICES
+from churnlab.sources.publish import publish_table, read_published
+from churnlab.sources.schemas import SCHEMAS, SOURCE_TABLES
 
 
 def _acq(s: Sources, week: str | None = None) -> DataFrame:
@@ -62,24 +66,71 @@ def _table_folder(s: Sources, name: str) -> str:
     return f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/churnlab-tables/{name}-{uuid.uuid4().hex}"
 
 
-def _csv_round_trip(s: Sources, df: DataFrame, name: str, infer_schema: bool = False) -> DataFrame:
-    """Write as CSV with a header and read back: with the declared types, or
-    inferred and then cast."""
+def _csv_round_trip(s: Sources, df: DataFrame, name: str) -> DataFrame:
+    """Write as CSV with a header and read back with the declared types."""
     folder = _table_folder(s, name)
     write_table(df, folder, fmt="csv")
-    if not infer_schema:
-        return read_csv_table(s.spark, folder, schema=df.schema)
-    back = read_csv_table(s.spark, folder, infer_schema=True)
-    return back.select(*[F.col(f.name).cast(f.dataType) for f in df.schema])
+    return read_csv_table(s.spark, folder, schema=df.schema)
+
+
+def _raw_subscriptions(s: Sources) -> DataFrame:
+    """The export with planted faults, written as CSV and read as a table of text (the
+    gate looks at it several times; its files are cut into records once)."""
+    folder = _table_folder(s, "raw_subscriptions")
+    write_table(raw_subscriptions_from(conform(s.subscriptions, "subscriptions")), f"{folder}/csv", fmt="csv")
+    write_table(read_raw(s.spark, f"{folder}/csv", "subscriptions"), f"{folder}/text")
+    return s.spark.read.parquet(f"{folder}/text")
+
+
+def _gated_subscriptions(s: Sources) -> Gated:
+    # The test tables' ids are numbers; text ids are as the declared schema has them.
+    return load_gate(_raw_subscriptions(s), "subscriptions")
+
+
+def _load_rejects(s: Sources) -> DataFrame:
+    rejects = _gated_subscriptions(s).rejects
+    return rejects.select("subscription_id", "user_id", "status", F.array_join("reasons", ",").alias("reasons"), "n_rows")
+
+
+def _seed_costs(s: Sources) -> DataFrame:
+    """The CAC seed as a CSV file, read with its declared schema: what the users of each
+    channel have cost."""
+    folder = _table_folder(s, "channel_cac")
+    write_table(s.channel_cac, folder, fmt="csv")
+    seed = read_csv_table(s.spark, folder, "channel_cac")
+    users = s.users.groupBy("acquisition_channel").agg(F.count(F.lit(1)).alias("users"))
+    cost = (F.col("users") * F.col("channel_cac")).alias("cost")
+    return users.join(seed, "acquisition_channel").select("acquisition_channel", "users", "channel_cac", cost)
+
+
+def _staging_views(s: Sources) -> DataFrame:
+    """Events of each channel's users, read through staging views by SQL."""
+    register_views({"stg_users": conform(s.users, "users"), "stg_events": conform(s.events, "events")})
+    return s.spark.sql(
+        "SELECT u.acquisition_channel, e.event_type, count(*) AS events, count(DISTINCT e.user_id) AS users "
+        "FROM stg_events e JOIN stg_users u ON e.user_id = u.user_id GROUP BY u.acquisition_channel, e.event_type"
+    )
+
+
+def _present_sources(s: Sources) -> DataFrame:
+    """Every declared source: whether its folder of the load step is there, and its rows
+    (null where it is missing)."""
+    folder = _table_folder(s, "present")
+    stored = {n: f"{folder}/{n}" for n in ("users", "subscriptions")}
+    for n, path in stored.items():
+        write_table(s.tables()[n], path)
+    paths = {n: stored.get(n, f"{folder}/{n}") for n in SOURCE_TABLES}
+    there = set(paths) - set(missing(s.spark, paths))
+    counts = load_audit({n: s.spark.read.parquet(paths[n]) for n in sorted(there)})
+    names = s.spark.createDataFrame([(n, n in there) for n in SOURCE_TABLES], "table_name string, present boolean")
+    return names.join(counts, "table_name", "left")
 
 
 def _written_economics(s: Sources) -> DataFrame:
-    """The economics mart as a table by month, rebuilt over an older one."""
-    folder = _table_folder(s, "mart_economics")
-    write_table(_eco(s, None), folder, partition_by=["active_month"])
-    mart = _eco(s)
-    write_table(mart, folder, partition_by=["active_month"])
-    return s.spark.read.parquet(folder).select(*mart.columns)
+    """The economics mart as a published table by month."""
+    path = _table_folder(s, "mart_economics")
+    publish_table(_eco(s), path, partition_by=["active_month"])
+    return read_published(s.spark, path)
 
 
 def staging(s: Sources) -> dict[str, DataFrame]:
@@ -133,9 +184,13 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     # plain operator families
     "load_audit": lambda s: load_audit(s.tables()),
     "csv_users": lambda s: _csv_round_trip(s, conform(s.users, "users"), "users"),
-    "csv_subscriptions_inferred": lambda s: _csv_round_trip(
-        s, conform(s.subscriptions, "subscriptions"), "subscriptions", infer_schema=True
-    ),
+    "csv_quoted_titles": lambda s: _csv_round_trip(s, odd_titles_from(s.content_catalog), "titles"),
+    "csv_subscriptions_inferred": lambda s: inferred_types(_raw_subscriptions(s), SCHEMAS["subscriptions"]),
+    "load_rejects": _load_rejects,
+    "load_accepted": lambda s: _gated_subscriptions(s).accepted,
+    "seed_channel_costs": _seed_costs,
+    "present_sources": _present_sources,
+    "staging_views": _staging_views,
     "written_economics": _written_economics,
     "range_join_months": lambda s: M.range_join_months(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings),
     "orphan_keys": lambda s: anti_orphans(s.subscriptions.select("subscription_id", "user_id"), s.users, "user_id"),
@@ -175,7 +230,7 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "kpi_tiles": lambda s: MT.kpi_tiles(_profile(s), _eco(s), _days(s)),
     # table rules from the generator
     "experiment_eligibility": lambda s: experiment_eligibility(s.users, s.experiments),
-    "assign_variants": lambda s: s.experiment_assignments,
+    "assign_variants": lambda s: assign_variants(experiment_eligibility(s.users, s.experiments), s.experiments),
     "normalized_mrr": lambda s: L.normalized_mrr(s.subscriptions, s.plans),
     "subscription_status": lambda s: L.subscription_status(s.subscriptions),
     "trial_period": lambda s: L.trial_period(
@@ -188,4 +243,13 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
 }
 
 # Queries that write when they are called.
-SINKS = ("csv_users", "csv_subscriptions_inferred", "written_economics")
+SINKS = (
+    "csv_users",
+    "csv_quoted_titles",
+    "csv_subscriptions_inferred",
+    "load_rejects",
+    "load_accepted",
+    "seed_channel_costs",
+    "present_sources",
+    "written_economics",
+)

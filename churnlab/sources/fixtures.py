@@ -63,6 +63,8 @@ UNKNOWN_USER = (50, 7)   # orders with o_orderkey % 50 = 7 belong to user -o_cus
 STALE_STATUS = (23, 0)   # ended ones with o_orderkey % 23 = 0 are stored as active
 LOWER_MRR = (19, 3)      # paid ones with o_orderkey % 19 = 3 pay one less
 LOGGED_TWICE = (83, 5)   # assignments of users with user_id % 83 = 5 stand twice
+# Faults planted in the raw subscriptions, by subscription_id % RAW_FAULTS.
+RAW_FAULTS = 97
 # ---------------------------------------------------------------------------
 
 
@@ -202,6 +204,45 @@ def content_catalog_from(part: DataFrame) -> DataFrame:
     )
 
 
+def raw_subscriptions_from(subscriptions: DataFrame) -> DataFrame:
+    """Subscriptions as an export would hold them, all text, with planted faults by
+    remainder: 1 a plan that is no number, 2 a status too long, 3 no user, 4 stands
+    twice, 5 stands twice with another status, 6 no start time and an amount out of
+    range, 7 an amount with too many digits."""
+    key = F.col("subscription_id").cast("long") % RAW_FAULTS
+    texts = {f.name: F.col(f.name).cast("string") for f in subscriptions.schema}
+    for c in ("started_at", "ended_at"):
+        texts[c] = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    for c in ("is_trial", "converted_to_paid"):
+        texts[c] = F.initcap(F.col(c).cast("string"))
+    texts["plan_id"] = F.when(key == 1, F.concat(F.lit("x"), texts["plan_id"])).otherwise(texts["plan_id"])
+    texts["user_id"] = F.when(key != 3, texts["user_id"])
+    texts["started_at"] = F.when(key == 6, F.lit("yesterday")).otherwise(texts["started_at"])
+    texts["mrr"] = F.when(key == 6, F.lit("1e99")).when(key == 7, F.lit("12345678.90")).otherwise(texts["mrr"])
+    time = F.explode(F.when(key.isin(4, 5), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("time")
+    late = F.concat("status", F.lit(' since the "twentieth" of the month'))
+    status = F.when(F.col("fault") == 2, late).when((F.col("fault") == 5) & (F.col("time") == 2), F.lit('paused, "for now"'))
+    rows = subscriptions.select(*[c.alias(n) for n, c in texts.items()], key.alias("fault"), time)
+    return rows.withColumn("status", F.coalesce(status, F.col("status"))).select(*texts)
+
+
+def odd_titles_from(content_catalog: DataFrame) -> DataFrame:
+    """(content_id, title): titles with all that a CSV field may hold, by content_id:
+    doubled quotes, separators, line breaks of both kinds, outer blanks, an empty text
+    and null."""
+    key, title = F.col("content_id").cast("long") % 7, F.col("title")
+    odd = (
+        F.when(key == 0, F.concat(F.lit('The "'), title, F.lit('", again')))
+        .when(key == 1, F.concat(title, F.lit(',\n"part two"\n')))
+        .when(key == 2, F.concat(F.lit("  "), title, F.lit(" ")))
+        .when(key == 3, F.concat(title, F.lit('\r\n"')))
+        .when(key == 4, F.lit(""))
+        .when(key == 5, F.lit(None).cast("string"))
+        .otherwise(title)
+    )
+    return content_catalog.select("content_id", odd.alias("title"))
+
+
 @dataclass
 class Sources:
     """The source catalog handed to the models (``source()`` / ``ref()``)."""
@@ -290,24 +331,15 @@ def write_sources(src: Sources, folder: str) -> tuple[Sources, dict[str, float]]
     return replace(src, **done, sessions=sessions_from(lines), content_views=content_views_from(lines)), seconds
 
 
-def _listing(spark: SparkSession, sf_dir: str) -> tuple:
-    """What tells these input files from others at the same place, from their
-    paths, sizes and times (no content is read)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = files.load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TEST_TABLES])
-    print_ = F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))
-    return tuple(files.agg(F.count(F.lit(1)), print_).first())
-
-
 _LOADED: dict[tuple, Sources] = {}
 
 
-def loaded_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """The sources of ``sf_dir`` as tables, written once for an application and
-    given input files into the shared folder (spark.checkpoint.dir): the load
-    step of the queries. Other files at the same place are loaded anew."""
-    key = (spark.sparkContext.applicationId, sf_dir, _listing(spark, sf_dir))
-    if key not in _LOADED:
+def loaded_sources(spark: SparkSession, sf_dir: str, reload: bool = False) -> Sources:
+    """The sources of ``sf_dir`` as tables, written once for an application into the
+    shared folder (spark.checkpoint.dir): the load step of the queries. ``reload``
+    loads them anew, as after a change of the input files."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if reload or key not in _LOADED:
         folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/churnlab-tables/sources-{uuid.uuid4().hex}"
         _LOADED[key], _ = write_sources(load_fixture_sources(spark, sf_dir), folder)
     return _LOADED[key]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from churnlab.operators.core import union_all
+from churnlab.sources.csv import READ, WRITE, read_records
 from churnlab.sources.schemas import SCHEMAS, SOURCE_TABLES, STAGING_COLUMNS
 
 
@@ -19,20 +20,24 @@ class MissingSourceError(FileNotFoundError):
     """A source file or folder named in the load list does not exist."""
 
 
-def require(spark: SparkSession, paths: Iterable[str]) -> None:
-    """Raise MissingSourceError naming every path that Spark cannot read. Uses
-    the reader itself, so it works for any store and kind of session; only
-    listings are read."""
-    missing = []
-    for path in paths:
+def missing(spark: SparkSession, paths: Mapping[str, str]) -> list[str]:
+    """The names whose path Spark cannot read. Uses the reader itself, so it works for
+    any store and kind of session; only listings are read."""
+    found = []
+    for name, path in paths.items():
         try:
             spark.read.text(path)
         except AnalysisException as exc:
             if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
-            missing.append(path)
-    if missing:
-        raise MissingSourceError("missing source files: " + ", ".join(missing))
+            found.append(name)
+    return found
+
+
+def require(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Raise MissingSourceError naming every path that Spark cannot read."""
+    if found := missing(spark, {p: p for p in paths}):
+        raise MissingSourceError("missing source files: " + ", ".join(found))
 
 
 def read_csv_table(
@@ -46,19 +51,16 @@ def read_csv_table(
 
     With ``table`` the declared schema is applied (types, no inference pass),
     with ``schema`` that one; ``infer_schema=True`` samples the file instead, as the warehouse load did.
-    Empty fields read as null; ``True``/``False`` parse as booleans.
+    Empty fields read as null, quoted empty ones as empty texts; quoted fields keep
+    separators, doubled quotes, line breaks and blanks, and files that have them are
+    read in splits (``churnlab.sources.csv``). A header or record that does not fit
+    fails the read.
     """
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
     if infer_schema:
-        return reader.option("inferSchema", True).csv(path)
+        return spark.read.options(**READ).option("header", True).option("mode", "FAILFAST").option("inferSchema", True).csv(path)
     if table is None and schema is None:
         raise ValueError("give a table name for its declared schema, a schema, or infer_schema=True")
-    return (
-        reader.schema(schema or SCHEMAS[table])
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("dateFormat", "yyyy-MM-dd")
-        .csv(path)
-    )
+    return read_records(spark, path, schema or SCHEMAS[table])
 
 
 def load_sources(
@@ -94,7 +96,8 @@ def write_table(
 ) -> None:
     """Materialise ``df`` whole, replacing what was there (idempotent rebuild).
 
-    CSV output carries a header row; parquet is the default sink. Monthly grains
+    CSV output carries a header row and reads back as it was (``read_csv_table``);
+    parquet is the default sink. Monthly grains
     pass ``partition_by`` so later reads prune by month; rows are then rebalanced
     by those columns first, so that a month is written by few tasks (a large
     one is split) and not by all.
@@ -104,7 +107,7 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", header).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+        writer.options(**WRITE).option("header", header).csv(path)
     else:
         writer.format(fmt).save(path)
 

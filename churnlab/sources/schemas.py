@@ -1,9 +1,9 @@
 """Declared schemas of the nine source tables and the CAC seed.
 
 Types follow the reference's table declarations: NUMERIC(8,2) -> decimal(8,2),
-TIMESTAMP without zone -> timestamp_ntz, VARCHAR -> string (length not
-enforced). ``REQUIRED`` lists the NOT NULL columns, ``KEYS`` the primary keys;
-both feed the data-quality checks.
+TIMESTAMP without zone -> timestamp_ntz, VARCHAR -> string. ``REQUIRED`` lists the
+NOT NULL columns, ``KEYS`` the primary keys, ``LENGTHS`` the longest texts; they
+feed the data-quality checks and the load gate.
 """
 
 from __future__ import annotations
@@ -139,6 +139,19 @@ REQUIRED: dict[str, tuple[str, ...]] = {
     name: tuple(f.name for f in schema.fields if not f.nullable) for name, schema in SCHEMAS.items()
 }
 
+# The declared lengths of text columns, in characters.
+LENGTHS: dict[str, dict[str, int]] = {
+    "plans": {"plan_name": 20, "billing_period": 10, "resolution": 10},
+    "content_catalog": {"content_id": 10, "title": 200, "content_type": 20, "genre": 30},
+    "users": {"user_id": 15, "acquisition_channel": 30, "country": 5, "primary_device": 20, "email": 200},
+    "experiments": {"experiment_id": 30, "experiment_name": 100, "variant": 50},
+    "experiment_assignments": {"experiment_id": 30, "user_id": 15, "variant": 50},
+    "subscriptions": {"subscription_id": 15, "user_id": 15, "status": 20},
+    "events": {"event_id": 15, "user_id": 15, "event_type": 40},
+    "sessions": {"session_id": 20, "user_id": 15, "device": 20},
+    "content_views": {"view_id": 20, "user_id": 15, "session_id": 20, "content_id": 10},
+}
+
 # Columns each staging model passes through, in the staging models' order.
 STAGING_COLUMNS: dict[str, tuple[str, ...]] = {
     "users": (

@@ -187,6 +187,35 @@ cte(
     "f_experiments",
 )
 
+# The export of subscriptions with planted faults: one row for each row of the files.
+cte(
+    "f_raw",
+    """SELECT CAST(subscription_id AS VARCHAR) AS subscription_id,
+         CASE WHEN fault <> 3 THEN CAST(user_id AS VARCHAR) END AS user_id,
+         CASE WHEN fault = 1 THEN 'x' ELSE '' END || plan_id AS plan_id,
+         CASE WHEN fault = 2 THEN status || ' since the "twentieth" of the month'
+              WHEN fault = 5 AND time = 2 THEN 'paused, "for now"' ELSE status END AS status,
+         CASE WHEN fault = 6 THEN 'yesterday' ELSE strftime(started_at, '%Y-%m-%d %H:%M:%S') END AS started_at,
+         strftime(ended_at, '%Y-%m-%d %H:%M:%S') AS ended_at,
+         CASE WHEN is_trial THEN 'True' ELSE 'False' END AS is_trial,
+         CASE WHEN converted_to_paid THEN 'True' ELSE 'False' END AS converted_to_paid,
+         CASE fault WHEN 6 THEN '1e99' WHEN 7 THEN '12345678.90' ELSE CAST(mrr AS VARCHAR) END AS mrr,
+         fault
+       FROM (SELECT *, subscription_id % 97 AS fault FROM f_subscriptions)
+       JOIN (VALUES (1), (2)) AS n(time) ON time = 1 OR fault IN (4, 5)""",
+    "f_subscriptions",
+)
+# Of two sound rows of one subscription the one with the smaller hash is loaded.
+cte(
+    "f_raw_ranked",
+    """SELECT *, row_number() OVER (PARTITION BY subscription_id ORDER BY md5(concat_ws('|',
+           coalesce('=' || subscription_id, ''), coalesce('=' || user_id, ''), coalesce('=' || plan_id, ''),
+           coalesce('=' || status, ''), coalesce('=' || started_at, ''), coalesce('=' || ended_at, ''),
+           coalesce('=' || is_trial, ''), coalesce('=' || converted_to_paid, ''), coalesce('=' || mrr, '')))) AS place
+       FROM f_raw""",
+    "f_raw",
+)
+
 # ---------------------------------------------------------------- models
 
 
@@ -594,7 +623,58 @@ def queries() -> dict[str, str]:
     # plain operator families
     q["load_audit"] = _load_audit()
     q["csv_users"] = q["stg_users"]
-    q["csv_subscriptions_inferred"] = q["stg_subscriptions"]
+    q["csv_quoted_titles"] = W(
+        """SELECT content_id, CASE content_id % 7
+              WHEN 0 THEN 'The "' || title || '", again'
+              WHEN 1 THEN title || ',' || chr(10) || '"part two"' || chr(10)
+              WHEN 2 THEN '  ' || title || ' '
+              WHEN 3 THEN title || chr(13) || chr(10) || '"'
+              WHEN 4 THEN ''
+              WHEN 5 THEN NULL ELSE title END AS title
+            FROM f_content_catalog""", "f_content_catalog")
+    # One faulty kind of row decides each of plan, start and amount.
+    q["csv_subscriptions_inferred"] = W(
+        """SELECT column_name, declared_type, inferred_type, n_values, CASE WHEN n_values = 0 THEN 0 ELSE n_deciding END AS n_deciding
+            FROM (
+              SELECT 'subscription_id' AS column_name, 'string' AS declared_type, 'int' AS inferred_type,
+                     count(subscription_id) AS n_values, count(subscription_id) AS n_deciding FROM f_raw
+              UNION ALL SELECT 'user_id', 'string', 'int', count(user_id), count(user_id) FROM f_raw
+              UNION ALL SELECT 'plan_id', 'int', CASE WHEN count(*) FILTER (WHERE fault = 1) > 0 THEN 'string' ELSE 'int' END,
+                     count(*), count(*) FILTER (WHERE fault = 1) FROM f_raw
+              UNION ALL SELECT 'status', 'string', 'string', count(*), count(*) FROM f_raw
+              UNION ALL SELECT 'started_at', 'timestamp_ntz', 'string', count(*), count(*) FILTER (WHERE fault = 6) FROM f_raw
+              UNION ALL SELECT 'ended_at', 'timestamp_ntz', 'timestamp_ntz', count(ended_at), count(ended_at) FROM f_raw
+              UNION ALL SELECT 'is_trial', 'boolean', 'boolean', count(*), 0 FROM f_raw
+              UNION ALL SELECT 'converted_to_paid', 'boolean', 'boolean', count(*), 0 FROM f_raw
+              UNION ALL SELECT 'mrr', 'decimal(8,2)', 'double', count(*), count(*) FILTER (WHERE fault = 6) FROM f_raw)""",
+        "f_raw")
+    q["load_rejects"] = W(
+        """SELECT r.subscription_id, r.user_id, r.status, coalesce(w.reasons, 'key:subscription_id') AS reasons, count(*) AS n_rows
+            FROM f_raw_ranked r
+            LEFT JOIN (VALUES (1, 'type:plan_id'), (2, 'length:status'), (3, 'null:user_id'),
+                              (6, 'type:started_at,type:mrr'), (7, 'type:mrr')) AS w(fault, reasons) ON w.fault = r.fault
+            WHERE w.reasons IS NOT NULL OR r.place > 1
+            GROUP BY ALL""", "f_raw_ranked")
+    q["load_accepted"] = W(
+        """SELECT subscription_id, user_id, CAST(plan_id AS INTEGER) AS plan_id, status,
+              CAST(started_at AS TIMESTAMP) AS started_at, CAST(ended_at AS TIMESTAMP) AS ended_at,
+              is_trial = 'True' AS is_trial, converted_to_paid = 'True' AS converted_to_paid,
+              CAST(mrr AS DECIMAL(8,2)) AS mrr
+            FROM f_raw_ranked WHERE fault NOT IN (1, 2, 3, 6, 7) AND place = 1""", "f_raw_ranked")
+    q["seed_channel_costs"] = W(
+        """SELECT c.acquisition_channel, count(*) AS users, c.channel_cac, count(*) * c.channel_cac AS cost
+            FROM f_users u JOIN f_channel_cac c ON u.acquisition_channel = c.acquisition_channel
+            GROUP BY c.acquisition_channel, c.channel_cac""", "f_users", "f_channel_cac")
+    q["present_sources"] = W(
+        """SELECT n.table_name, c.row_count IS NOT NULL AS present, c.row_count
+            FROM (VALUES ('users'), ('plans'), ('content_catalog'), ('subscriptions'), ('sessions'), ('events'),
+                         ('content_views'), ('experiments'), ('experiment_assignments')) AS n(table_name)
+            LEFT JOIN (SELECT 'users' AS table_name, count(*) AS row_count FROM f_users
+                       UNION ALL SELECT 'subscriptions', count(*) FROM f_subscriptions) c ON c.table_name = n.table_name""",
+        "f_users", "f_subscriptions")
+    q["staging_views"] = W(
+        """SELECT u.acquisition_channel, e.event_type, count(*) AS events, count(DISTINCT e.user_id) AS users
+            FROM f_events e JOIN f_users u ON e.user_id = u.user_id GROUP BY 1, 2""", "f_events", "f_users")
     q["written_economics"] = q["mart_economics"]
     q["load_constraints"] = _load_constraints()
     q["range_join_months"] = W("SELECT subscription_id, active_month, tenure_months FROM m_eco", "m_eco")
@@ -748,7 +828,7 @@ def queries() -> dict[str, str]:
         "m_acq", "m_eco", "m_eng")
     # table rules
     q["experiment_eligibility"] = W("SELECT * FROM f_eligible", "f_eligible")
-    q["assign_variants"] = W("SELECT experiment_id, user_id, variant, assigned_at FROM f_assignments",
+    q["assign_variants"] = W("SELECT DISTINCT experiment_id, user_id, variant, assigned_at FROM f_assignments",
                              "f_assignments")
     q["normalized_mrr"] = W(
         """SELECT s.subscription_id, s.plan_id, p.billing_period, p.price_monthly, s.converted_to_paid,

