@@ -6,11 +6,12 @@ generic warehouse tests do:
 unique           duplicated key values with their row count (nulls ignored)
 not_null         (column_name, violations) for columns that have nulls
 accepted_values  values outside the list with their row count
+range            rows with a value below or above the bounds
 relationship     child rows whose non-null key has no parent
 
-``quality_report`` runs a list of checks and returns one
-(table_name, column_name, check_name, violations) row per check. All null
-checks of a table share one scan; nothing is collected to the driver.
+``quality_report`` compiles a list of checks into one scan of each table and one
+shuffle for all of them, and returns one (table_name, column_name, check_name,
+violations) row per check; nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.operators.core import anti_orphans, orphan_keys, union_all
+from churnlab.operators.core import anti_orphans, union_all
 from churnlab.sources.schemas import KEYS, REQUIRED
 
 
@@ -68,26 +69,16 @@ def check_relationship(child: DataFrame, col: str, parent: DataFrame, parent_col
     return anti_orphans(child.select(col), parent, col, parent_col)
 
 
-def orphan_count(child: DataFrame, col: str, parent: DataFrame, parent_col: str | None = None) -> DataFrame:
-    """Number of child rows whose non-null key has no parent, as one row.
-
-    Child keys are counted per key first (map-side combined), so a key held by
-    a large share of the child rows reaches the anti join as a few partial
-    counts, not as its rows.
-    """
-    per_key = child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    orphans = per_key.join(orphan_keys(per_key, parent, col, parent_col), col, "left_semi")
-    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"))
-
-
 @dataclass(frozen=True)
 class Check:
     table: str
     column: str | tuple[str, ...]
-    kind: str  # unique | not_null | accepted_values | relationship
+    kind: str  # unique | not_null | accepted_values | range | relationship
     values: tuple = ()
     parent: str | None = None
     parent_column: str | None = None
+    low: object = None
+    high: object = None
 
     @property
     def column_name(self) -> str:
@@ -104,58 +95,72 @@ class CheckSuite:
         return self
 
 
-def _count_rows(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("violations"))
-
-
-def _report_rows(agg: DataFrame, table: str, items: list[tuple[str, str, str]]) -> DataFrame:
-    """Unpivot a one-row aggregate into (table_name, column_name, check_name,
-    violations) rows; ``items`` = (aggregate column, column name, check)."""
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(col_name).alias("column_name"),
-                F.lit(kind).alias("check_name"),
-                F.col(src).cast("bigint").alias("violations"),
-            )
-            for src, col_name, kind in items
-        ]
-    )
-    return agg.select(F.lit(table).alias("table_name"), F.explode(pairs).alias("p")).select(
-        "table_name", "p.column_name", "p.check_name", "p.violations"
-    )
+def _key(columns: Sequence[Column]) -> Column:
+    """Key values as one text, different for different keys."""
+    texts = [c.cast("string") for c in columns]
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts])
 
 
-def _table_pass(df: DataFrame, table: str, unique: list[Check], nulls: list[str]) -> DataFrame:
-    """All unique and not-null checks of one table in one aggregation.
+@dataclass(frozen=True)
+class _Says:
+    """What a row of a table says to a check when ``condition`` holds: its key, and
+    whether it is one of the checked rows or of the parents. Most rows have a key to
+    say, few a fault."""
 
-    Without a unique check: one scan, no shuffle. With one: rows are grouped by
-    the key (map-side combined, so a hot key becomes a few partial rows) while
-    counting nulls per group; a second, global aggregate sums the null counts
-    and counts the keys seen more than once. One shuffle per table for all of
-    its unique and not-null checks.
-    """
-    if not unique:
-        agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(nulls)])
-        return _report_rows(agg, table, [(f"_null_{i}", c, "not_null") for i, c in enumerate(nulls)])
-    if len(unique) > 1:
-        raise ValueError(f"one unique check per table pass, got {len(unique)} for {table}")
-    keys = list(unique[0].column) if isinstance(unique[0].column, tuple) else [unique[0].column]
-    key_present = F.lit(True)
-    for k in keys:
-        key_present = key_present & F.col(k).isNotNull()
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(nulls)],
-    )
-    agg = per_key.agg(
-        F.count_if(key_present & (F.col("_n") > 1)).alias("_dup"),
-        *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"_null_{i}") for i in range(len(nulls))],
-    )
-    items = [("_dup", unique[0].column_name, "unique")] + [
-        (f"_null_{i}", c, "not_null") for i, c in enumerate(nulls)
-    ]
-    return _report_rows(agg, table, items)
+    table: str
+    condition: Column
+    key: Column
+    number: int
+    is_fault: bool = True
+    is_parent: bool = False
+
+    def row(self) -> Column:
+        own, parents = F.lit(0 if self.is_parent else 1), F.lit(1 if self.is_parent else 0)
+        said = F.struct(F.lit(self.number).alias("check"), self.key.alias("key"), own.alias("own"), parents.alias("parents"))
+        return F.when(self.condition, said)
+
+
+def _says(number: int, chk: Check) -> list[_Says]:
+    columns = [F.col(c) for c in (chk.column if isinstance(chk.column, tuple) else (chk.column,))]
+    c, no_key = columns[0], F.lit("")
+    present = F.lit(True)
+    for part in columns:
+        present = present & part.isNotNull()
+    if chk.kind == "unique":
+        return [_Says(chk.table, present, _key(columns), number, is_fault=False)]
+    if chk.kind == "not_null":
+        return [_Says(chk.table, c.isNull(), no_key, number)]
+    if chk.kind == "accepted_values":
+        return [_Says(chk.table, present & ~c.isin(list(chk.values)), _key(columns), number)]
+    if chk.kind == "range":
+        outside = F.lit(False)
+        if chk.low is not None:
+            outside = outside | (c < F.lit(chk.low))
+        if chk.high is not None:
+            outside = outside | (c > F.lit(chk.high))
+        return [_Says(chk.table, present & outside, no_key, number)]
+    if chk.kind == "relationship":
+        parent = F.col(chk.parent_column or chk.column)
+        own = _Says(chk.table, present, _key(columns), number, is_fault=False)
+        return [own, _Says(chk.parent, parent.isNotNull(), _key([parent]), number, is_fault=False, is_parent=True)]
+    raise ValueError(f"unknown check {chk.kind!r}")
+
+
+def _said_rows(df: DataFrame, says: Sequence[_Says]) -> DataFrame:
+    """One scan: rows (check, key, own, parents) of all that the table's rows say."""
+    keys, faults = [x for x in says if not x.is_fault], [x for x in says if x.is_fault]
+    faulty = F.lit(False)
+    for x in faults:
+        faulty = faulty | F.coalesce(x.condition, F.lit(False))
+    everything = F.array(*[x.row() for x in [*keys, *faults]])
+    if not keys:
+        rows = df.where(faulty).select(F.explode(everything).alias("said"))
+    else:
+        said = F.when(faulty, everything).otherwise(F.array(*[x.row() for x in keys])) if faults else everything
+        rows = df.select(F.explode(said).alias("said"))
+    return rows.where("said IS NOT NULL").select("said.*")
 
 
 def quality_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
@@ -163,31 +168,34 @@ def quality_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) ->
 
     violations counts what the failing-rows query returns: duplicated key
     values (unique), null rows (not_null), distinct unaccepted values
-    (accepted_values), orphan rows (relationship). Unique and not-null checks
-    of a table share one pass over it, so each table (and each mart) is
-    computed once for them.
+    (accepted_values), rows out of bounds (range), orphan rows (relationship).
+
+    Every table is scanned once: a row says (check, key) for each check that it
+    has a say in - its keys to unique checks and relationships, as child or
+    parent, faults only to the others. What all tables say is counted by check
+    and key in one shuffle, summed in the tasks before, so a hot key or a column
+    full of nulls is one row a task; the counts make the report. Keys are compared
+    as text. A table may have any number of unique keys.
     """
-    per_table: dict[str, tuple[list[Check], list[str]]] = {}
-    parts: list[DataFrame] = []
-    for chk in checks:
-        uniq, nulls = per_table.setdefault(chk.table, ([], []))
-        if chk.kind == "unique":
-            uniq.append(chk)
-        elif chk.kind == "not_null":
-            if chk.column not in nulls:
-                nulls.append(chk.column)
-        elif chk.kind == "accepted_values":
-            bad = check_accepted_values(tables[chk.table], chk.column, chk.values)
-            parts.append(_report_rows(_count_rows(bad), chk.table, [("violations", chk.column_name, chk.kind)]))
-        elif chk.kind == "relationship":
-            cnt = orphan_count(tables[chk.table], chk.column, tables[chk.parent], chk.parent_column or chk.column)
-            parts.append(_report_rows(cnt, chk.table, [("violations", chk.column_name, chk.kind)]))
-        else:
-            raise ValueError(f"unknown check {chk.kind!r}")
-    for table, (uniq, nulls) in per_table.items():
-        if uniq or nulls:
-            parts.append(_table_pass(tables[table], table, uniq, nulls))
-    return union_all(parts)
+    checks = list(dict.fromkeys(checks))
+    says: dict[str, list[_Says]] = {}
+    for number, chk in enumerate(checks):
+        for x in _says(number, chk):
+            says.setdefault(x.table, []).append(x)
+    rows = [_said_rows(tables[table], x) for table, x in says.items()]
+    by_key = union_all(rows).groupBy("check", "key").agg(F.sum("own").alias("own"), F.sum("parents").alias("parents"))
+    orphans = F.when(F.col("parents") == 0, F.col("own")).otherwise(0)
+    by_check = by_key.groupBy("check").agg(
+        F.count_if(F.col("own") > 1).alias("unique"),
+        F.sum("own").alias("rows"),
+        F.count(F.lit(1)).alias("values"),
+        F.sum(orphans).alias("orphans"),
+    )
+    counted = {"unique": "unique", "not_null": "rows", "accepted_values": "values", "range": "rows", "relationship": "orphans"}
+    said = [(i, c.table, c.column_name, c.kind) for i, c in enumerate(checks)]
+    listed = tables[checks[0].table].sparkSession.createDataFrame(said, "check int, table_name string, column_name string, check_name string")
+    violations = F.coalesce(*[F.when(F.col("check_name") == kind, F.col(name)) for kind, name in counted.items()], F.lit(0))
+    return listed.join(by_check, "check", "left").select("table_name", "column_name", "check_name", violations.cast("bigint").alias("violations"))
 
 
 # The declared column tests.

@@ -200,7 +200,9 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
         s.subscriptions.where("converted_to_paid").select("user_id").distinct(), "user_id", "left_semi"
     ),
     # data-quality checks
-    "check_unique": lambda s: C.check_unique(s.sessions, "session_id"),
+    "check_unique": lambda s: C.check_unique(
+        raw_subscriptions_from(conform(s.subscriptions, "subscriptions")), "subscription_id"
+    ),
     "check_composite_key": lambda s: C.check_unique(s.experiment_assignments, ["experiment_id", "user_id"]),
     "check_not_null": lambda s: C.check_not_null(conform(s.users, "users")),
     "check_accepted_values": lambda s: C.check_accepted_values(s.sessions, "device", DEVICES),

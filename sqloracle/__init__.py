@@ -687,8 +687,8 @@ def queries() -> dict[str, str]:
         "f_users", "f_subscriptions")
     # checks
     q["check_unique"] = W(
-        "SELECT session_id, count(*) AS n_rows FROM f_sessions WHERE session_id IS NOT NULL "
-        "GROUP BY session_id HAVING count(*) > 1", "f_sessions")
+        "SELECT subscription_id, count(*) AS n_rows FROM f_raw WHERE subscription_id IS NOT NULL "
+        "GROUP BY subscription_id HAVING count(*) > 1", "f_raw")
     q["check_composite_key"] = W(
         "SELECT experiment_id, user_id, count(*) AS n_rows FROM f_assignments "
         "GROUP BY experiment_id, user_id HAVING count(*) > 1", "f_assignments")

@@ -58,3 +58,34 @@ def test_quality_report_has_every_check_and_catches_dirty_copy(small_sources):
     assert got[("stg_users", "user_id", "not_null")] == 1
     assert got[("stg_users", "acquisition_channel", "accepted_values")] == 1
     assert got[("stg_subscriptions", "user_id", "relationship")] == 31
+
+
+def test_one_table_may_have_many_keys_and_bounds(spark):
+    rows = [(1, "a", 10, 2.5), (2, "a", 10, None), (3, "b", 11, -1.0), (3, "c", 11, 99.0), (None, "d", None, 5.0)]
+    t = spark.createDataFrame(rows, "id bigint, name string, place int, price double")
+    parents = spark.createDataFrame([(10,), (10,), (None,)], "place bigint")
+    suite = C.CheckSuite()
+    for key in ("id", "name", ("name", "place"), ("place", "id")):
+        suite.add("t", key, "unique")
+    suite.add("t", "price", "range", low=0.0, high=50.0).add("t", "price", "range", high=1000.0)
+    suite.add("t", "name", "accepted_values", values=("a", "b")).add("t", "id", "not_null").add("t", "price", "not_null")
+    suite.add("t", "place", "relationship", parent="parents").add("none", "x", "unique", "not_null")
+    tables = {"t": t, "parents": parents, "none": spark.createDataFrame([], "x int")}
+    report = C.quality_report(tables, suite.checks)
+    got = [(r.table_name, r.column_name, r.check_name, r.violations) for r in report.collect()]
+    assert sorted(got) == sorted([
+        ("t", "id", "unique", 1), ("t", "name", "unique", 1), ("t", "name,place", "unique", 1), ("t", "place,id", "unique", 1),
+        ("t", "price", "range", 2), ("t", "price", "range", 0), ("t", "name", "accepted_values", 2), ("t", "id", "not_null", 1),
+        ("t", "price", "not_null", 1), ("t", "place", "relationship", 2), ("none", "x", "unique", 0), ("none", "x", "not_null", 0),
+    ])
+
+
+def test_report_scans_each_table_once_and_shuffles_keys_once(small_sources):
+    s = small_sources
+    names = ("users", "subscriptions", "sessions", "events")
+    suite = [c for c in C.full_suite(FIXTURE_CHANNELS, ACCEPTED_STATUSES) if c.table in {f"stg_{n}" for n in names}]
+    report = C.quality_report({f"stg_{n}": getattr(s, n) for n in names}, suite)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len(names)
+    # One by check and key, one of the sums by check.
+    assert plan.count("Exchange hashpartitioning(check") == 2 == plan.count("Exchange hashpartitioning")

@@ -6,6 +6,7 @@ import tempfile
 
 from churnlab.plans.pipeline import run_pipeline
 from churnlab.plans.registry import QUERIES
+from churnlab.sources.publish import versions
 
 
 def _rows(df):
@@ -16,9 +17,11 @@ def _rows(df):
 def test_pipeline_rerun_is_stable_and_matches_queries(spark, small_sources):
     base = tempfile.mkdtemp(prefix="churnlab-pipe-")
     first = run_pipeline(small_sources, os.path.join(base, "a"))
-    second = run_pipeline(small_sources, os.path.join(base, "a"))  # overwrite in place
-    assert os.path.isdir(os.path.join(base, "a", "mart_economics"))
-    assert any(d.startswith("active_month=") for d in os.listdir(os.path.join(base, "a", "mart_economics")))
+    second = run_pipeline(small_sources, os.path.join(base, "a"))  # a new version of every table
+    runs = os.listdir(os.path.join(base, "a", "mart_economics", "versions"))
+    assert len(runs) == 2 and versions(spark, os.path.join(base, "a", "mart_economics")).count() == 2
+    assert any(d.startswith("active_month=") for d in os.listdir(os.path.join(base, "a", "mart_economics", "versions", runs[0])))
+    assert _rows(first.marts["mart_economics"]) == _rows(second.marts["mart_economics"])
     for name in ("mart_acquisition", "mart_engagement", "mart_economics", "mart_experiments"):
         assert _rows(second.marts[name]) == _rows(QUERIES[name](small_sources))
     for name in ("mrr_trend", "funnel_summary", "active_users", "cohort_retention", "kpi_tiles"):
