@@ -2,7 +2,7 @@
 
 from churnlab.operators.core import (  # noqa: F401
     active_months,
-    activity_days,
+    activity_maps,
     anti_orphans,
     daily_activity,
     first_per_key,

@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlab.functions.dates import add_days, as_date, date_lit, month_series, month_start
+from churnlab.functions.dates import as_date, date_lit, month_series, month_start
 
 def stage_flags(
     entities: DataFrame,
@@ -60,9 +60,32 @@ def first_per_key(
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def activity_days(activity: DataFrame, key: str = "user_id", date_col: str = "session_date") -> DataFrame:
-    """Distinct (key, date) pairs - the most activity data a day window needs."""
-    return activity.select(key, date_col).distinct()
+#: Days in one word of a day map.
+WORD_DAYS = 64
+
+
+def activity_maps(activity: DataFrame, key: str = "user_id", date_col: str = "session_date") -> DataFrame:
+    """Each key's active days as bit maps: (key, word, bits), one row for every 64 days
+    (counted from 1970) in which the key has any.
+
+    ``bits`` is an OR over rows, so tasks combine before the shuffle and maps of
+    several loads merge by another OR; null dates are left out.
+    """
+    day = F.unix_date(F.col(date_col))
+    place = F.pmod(day, F.lit(WORD_DAYS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    word = F.call_function("div", day - place, F.lit(WORD_DAYS)).cast("int")
+    days = activity.where(F.col(date_col).isNotNull()).select(key, word.alias("word"), bit.alias("bits"))
+    return days.groupBy(key, "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def _days_in_word(low: Column, high: Column) -> Column:
+    """Bits of the days from ``low`` up to before ``high``, counted from the word's first."""
+    def below(n: Column) -> Column:
+        inside = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), F.lit(WORD_DAYS) - n)
+        return F.when(n >= WORD_DAYS, F.lit(-1).cast("bigint")).when(n <= 0, F.lit(0).cast("bigint")).otherwise(inside)
+
+    return below(high).bitwiseAND(F.bitwise_not(below(low)))
 
 
 def retention_flags(
@@ -72,23 +95,19 @@ def retention_flags(
     key: str = "user_id",
     anchor_col: str = "signup_date",
     date_col: str = "session_date",
-    activity_is_daily: bool = False,
 ) -> DataFrame:
     """Entity rows plus one 0/1 flag per window: did any activity fall in
     [anchor+lo, anchor+hi) days.
 
-    Activity is cut to distinct key-days first (map-side combined), so a user
-    contributes at most one row per calendar day to the join; pass
-    ``activity_is_daily=True`` when it already has that grain (e.g. the
-    engagement mart) to skip the cut. The flags are aggregated on the join's own
-    partitioning (no further shuffle). ``key`` is unique in ``entities``;
-    entities without activity get 0.
+    Activity is cut to day maps first (map-side combined), so an entity meets a
+    row for every 64 days at most, not one a day; a window is a test of bits.
+    The flags are aggregated on the join's own partitioning (no further shuffle).
+    ``key`` is unique in ``entities``; entities without activity get 0.
     """
-    days = activity.select(key, date_col) if activity_is_daily else activity_days(activity, key, date_col)
-    joined = entities.join(days, on=key, how="left")
-    d, a = F.col(date_col), F.col(anchor_col)
+    joined = entities.join(activity_maps(activity, key, date_col), on=key, how="left")
+    anchor = F.unix_date(F.col(anchor_col)) - F.col("word") * WORD_DAYS
     flags = [
-        F.max(F.when((d >= add_days(a, lo)) & (d < add_days(a, hi)), 1).otherwise(0)).alias(name)
+        F.max(F.when(F.col("bits").bitwiseAND(_days_in_word(anchor + lo, anchor + hi)) != 0, 1).otherwise(0)).alias(name)
         for name, (lo, hi) in windows.items()
     ]
     return joined.groupBy(*entities.columns).agg(*flags)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab.functions.dates import month_start
-from churnlab.functions.scalar import ratio
+from churnlab.functions.scalar import ratio, two_sided_p
 from churnlab.sources.lookups import FUNNEL_STAGES
 
 STAGE_NAMES = ["signup", "trial", "paywall", "subscribe_click", "paid"]
@@ -358,6 +358,31 @@ def experiment_significance(results: DataFrame, z_crit: float = 1.96) -> DataFra
     )
 
 
+def experiment_p_values(results: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """The z-tests of ``experiment_significance`` as probabilities, adjusted for the
+    number of variants that are compared with one control.
+
+    p_value is two-sided. p_holm is Holm's step-down: of m variants, the one with
+    the k-th smallest p_value has the greatest (m - i + 1) * p_i of i <= k, at most 1;
+    significant below ``alpha``. Variants without a z-score have nulls and do not
+    count. A window over the few variants of an experiment.
+    """
+    tested = experiment_significance(results).select("experiment_id", "variant", "z_score", two_sided_p(F.col("z_score")).alias("p_value"))
+    in_order = Window.partitionBy("experiment_id").orderBy(F.col("p_value").asc_nulls_last(), "variant")
+    m = F.count("p_value").over(Window.partitionBy("experiment_id"))
+    step = tested.withColumn("_step", (m - F.row_number().over(in_order) + 1) * F.col("p_value"))
+    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    holm = F.when(F.col("p_value").isNotNull(), F.least(F.lit(1.0), F.max("_step").over(upto)))
+    return step.withColumn("p_holm", holm).select(
+        "experiment_id",
+        "variant",
+        F.round("z_score", 9).alias("z_score"),
+        F.round("p_value", 9).alias("p_value"),
+        F.round("p_holm", 9).alias("p_holm"),
+        (F.col("p_holm") < alpha).alias("significant"),
+    )
+
+
 def kpi_tiles(acquisition: DataFrame, economics: DataFrame, user_days: DataFrame) -> DataFrame:
     """One row: users, paid users, conversion, the last active month's MRR and
     subscriptions, and the last activity month's MAU.

@@ -92,24 +92,20 @@ def user_conversion(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def user_outcomes(
-    users: DataFrame, subscriptions: DataFrame, sessions: DataFrame, activity_is_daily: bool = False
-) -> DataFrame:
+def user_outcomes(users: DataFrame, subscriptions: DataFrame, sessions: DataFrame) -> DataFrame:
     """One row per user: conversion, max MRR, D7 (days 7-13) and D30 (days
     30-59) retention.
 
     Subscriptions are reduced to one conversion row per user and sessions to
-    distinct user-days before anything meets the users, so the two never
-    multiply each other. Users, conversion rows and user-days then join on
-    ``user_id`` once - all three hash-partitioned on it - and the retention
-    flags are aggregated per user on that same partitioning (no further
-    shuffle, and the users table is shuffled once). ``sessions`` may be any
-    (user_id, session_date) activity; with ``activity_is_daily`` it is already
-    one row per user-day (the engagement mart) and is used as is.
+    day maps before anything meets the users, so the two never multiply each
+    other. Users, conversion rows and maps then join on ``user_id`` once - all
+    three hash-partitioned on it - and the retention flags are aggregated per
+    user on that same partitioning (no further shuffle, and the users table is
+    shuffled once). ``sessions`` may be any (user_id, session_date) activity.
     """
     conv = user_conversion(subscriptions)
     base = users.select("user_id", "signup_date", "signup_timestamp", *USER_CONTEXT).join(conv, "user_id", "left")
-    out = retention_flags(base, sessions, RETENTION_WINDOWS, activity_is_daily=activity_is_daily)
+    out = retention_flags(base, sessions, RETENTION_WINDOWS)
     return out.select(
         "user_id",
         "signup_date",
@@ -122,11 +118,11 @@ def user_outcomes(
 
 
 def assigned_outcomes(
-    assignments: DataFrame, users: DataFrame, subscriptions: DataFrame, sessions: DataFrame, activity_is_daily: bool = False
+    assignments: DataFrame, users: DataFrame, subscriptions: DataFrame, sessions: DataFrame
 ) -> DataFrame:
     """Outcomes of the users that are in any experiment."""
     assigned = users.join(assignments.select("user_id").distinct(), "user_id", "left_semi")
-    return user_outcomes(assigned, subscriptions, sessions, activity_is_daily)
+    return user_outcomes(assigned, subscriptions, sessions)
 
 
 def subscription_months(

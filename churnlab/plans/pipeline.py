@@ -48,7 +48,7 @@ def build_marts(s: Sources, user_days: DataFrame) -> dict[str, DataFrame]:
     flags; retention for the experiments mart reads their (user_id,
     session_date) rows instead of scanning all sessions again."""
     week = s.settings.week_start
-    outcomes = M.assigned_outcomes(s.experiment_assignments, s.users, s.subscriptions, user_days, activity_is_daily=True)
+    outcomes = M.assigned_outcomes(s.experiment_assignments, s.users, s.subscriptions, user_days)
     return {
         "mart_acquisition": M.mart_acquisition(s.users, s.events, s.subscriptions, s.plans, s.channel_cac, week),
         "mart_engagement": user_days.drop(*M.FIRST_DAYS),

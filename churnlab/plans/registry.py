@@ -229,6 +229,7 @@ QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "experiment_results": lambda s: MT.experiment_results(_exp(s)),
     "experiment_lift": lambda s: MT.experiment_lift(MT.experiment_results(_exp(s))),
     "experiment_significance": lambda s: MT.experiment_significance(MT.experiment_results(_exp(s))),
+    "experiment_p_values": lambda s: MT.experiment_p_values(MT.experiment_results(_exp(s))),
     "kpi_tiles": lambda s: MT.kpi_tiles(_profile(s), _eco(s), _days(s)),
     # table rules from the generator
     "experiment_eligibility": lambda s: experiment_eligibility(s.users, s.experiments),

@@ -813,6 +813,21 @@ def queries() -> dict[str, str]:
               control_conversion_rate AS p_control, conversion_rate AS p_variant, {pooled} AS pooled_rate,
               {z} AS z_score, abs({z}) >= 1.96 AS significant
             FROM m_exp_pairs""", "m_exp_pairs")
+    # The tail by Simpson's rule over 12 units from |z| on.
+    q["experiment_p_values"] = W(
+        f"""SELECT experiment_id, variant, round(z, 9) AS z_score, round(p, 9) AS p_value, round(holm, 9) AS p_holm, holm < 0.05 AS significant
+            FROM (
+              SELECT *, least(1.0, max(step) OVER (PARTITION BY experiment_id ORDER BY place)) AS holm
+              FROM (
+                SELECT *, (count(p) OVER (PARTITION BY experiment_id) - place + 1) * p AS step
+                FROM (
+                  SELECT *, row_number() OVER (PARTITION BY experiment_id ORDER BY p NULLS LAST, variant) AS place
+                  FROM (
+                    SELECT experiment_id, variant, {z} AS z,
+                      (SELECT sum(weight * exp(-power(abs({z}) + i * 0.0005, 2) / 2)) FROM
+                         (SELECT i, CASE WHEN i IN (0, 24000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS weight FROM range(24001) r(i)))
+                        * 0.0005 / 3 * 2 / sqrt(2 * pi()) AS p
+                    FROM m_exp_pairs))))""", "m_exp_pairs")
     q["kpi_tiles"] = W(
         f"""SELECT (SELECT count(*) FROM m_acq) AS total_users,
               (SELECT CAST(sum(reached_paid) AS BIGINT) FROM m_acq) AS paid_users,

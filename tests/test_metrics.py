@@ -62,3 +62,25 @@ def test_funnel_summary_rates(spark):
     assert [r.users for r in rows] == [3, 2, 1, 1, 1]
     assert [r.step_rate for r in rows] == [0.75, 2 / 3, 0.5, 1.0, 1.0]
     assert rows[-1].overall_rate == 0.25
+
+
+def test_two_sided_p_and_holm(spark):
+    from pyspark.sql import functions as F
+
+    from churnlab.functions.scalar import two_sided_p
+    from churnlab.plans.metrics import experiment_p_values
+
+    zs = [0.0, 1e-9, -0.3, 1.0, -1.96, 2.5758, 4.0, 5.5, -7.9, 8.0, 40.0, None]
+    got = [r[0] for r in spark.createDataFrame([(z,) for z in zs], "z double").select(two_sided_p(F.col("z"))).collect()]
+    for z, p in zip(zs, got):
+        assert p is None if z is None else abs(p - math.erfc(abs(z) / math.sqrt(2))) < 1e-12
+    kind = "experiment_id string, variant string, is_control boolean, measured_users bigint, conversions bigint, conversion_rate double, d30_rate double"
+    counts = [("x", "c", True, 1000, 100), ("x", "v1", False, 1000, 130), ("x", "v2", False, 1000, 128), ("x", "v3", False, 1000, 101), ("x", "v4", False, 0, 0)]
+    results = spark.createDataFrame([(*r, r[4] / r[3] if r[3] else None, 0.0) for r in counts], kind)
+    rows = {r.variant: r for r in experiment_p_values(results).collect()}
+    p = [rows[v].p_value for v in ("v1", "v2", "v3")]
+    assert p == sorted(p)
+    holm = [3 * p[0], max(3 * p[0], 2 * p[1]), max(3 * p[0], 2 * p[1], p[2])]
+    assert all(abs(rows[v].p_holm - min(1, h)) < 1e-8 for v, h in zip(("v1", "v2", "v3"), holm))
+    assert rows["v1"].p_value < 0.05 <= rows["v1"].p_holm and rows["v1"].significant is False
+    assert rows["v4"].p_value is None and rows["v4"].p_holm is None

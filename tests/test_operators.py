@@ -140,3 +140,33 @@ def test_stage_flags_tell_every_stage_apart(spark):
     events = spark.createDataFrame(list(enumerate(FUNNEL_STAGES.values())), "user_id bigint, event_type string")
     out = {r.user_id: [r[f] for f in FUNNEL_STAGES] for r in stage_flags(users, events, FUNNEL_STAGES).collect()}
     assert out == {i: [int(i == j) for j in range(5)] for i in range(6)}
+
+
+def test_day_maps_against_sets_of_days(spark):
+    """Windows over the borders of 64-day words, before 1970, longer than a word, empty."""
+    import datetime as dt
+    import random
+
+    rng = random.Random(3)
+    epoch = dt.date(1970, 1, 1)
+    users = [(u, epoch + dt.timedelta(days=rng.choice([-70, -64, -1, 0, 63, 64, 127, 9000]))) for u in range(60)] + [(99, None)]
+    days = [(u, a + dt.timedelta(days=rng.randint(-5, 300))) for u, a in users[:50] for _ in range(rng.randint(1, 6))] + [(3, None), (700, epoch)]
+    windows = {"same": (0, 1), "week": (7, 14), "long": (1, 200), "word": (0, 64), "late": (64, 128), "none": (5, 5), "before": (-5, 0)}
+    u = spark.createDataFrame(users, "user_id bigint, signup_date date")
+    a = spark.createDataFrame(days * 2, "user_id bigint, session_date date")
+    got = {r.user_id: {w: r[w] for w in windows} for r in retention_flags(u, a, windows).collect()}
+    assert len(got) == len(users)
+    for user, anchor in users:
+        seen = [(d - anchor).days for v, d in days if v == user and d and anchor]
+        assert got[user] == {w: int(any(low <= n < high for n in seen)) for w, (low, high) in windows.items()}, user
+
+
+def test_day_maps_merge(spark):
+    from churnlab.operators import activity_maps
+
+    a = spark.sql("SELECT id % 5 AS user_id, date_add(DATE '1999-12-01', CAST(id * 7 % 200 AS INT)) AS session_date FROM range(300)")
+    halves = [activity_maps(a.where(f"user_id % 2 = {i}").union(a.where("user_id = 4"))) for i in (0, 1)]
+    merged = halves[0].union(halves[1]).groupBy("user_id", "word").agg(F.bit_or("bits").alias("bits"))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, activity_maps(a).collect()))
+    days = merged.agg(F.sum(F.bit_count("bits"))).first()[0]
+    assert days == a.distinct().count()
