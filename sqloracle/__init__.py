@@ -817,7 +817,7 @@ def queries() -> dict[str, str]:
     q["experiment_p_values"] = W(
         f"""SELECT experiment_id, variant, round(z, 9) AS z_score, round(p, 9) AS p_value, round(holm, 9) AS p_holm, holm < 0.05 AS significant
             FROM (
-              SELECT *, least(1.0, max(step) OVER (PARTITION BY experiment_id ORDER BY place)) AS holm
+              SELECT *, CASE WHEN p IS NOT NULL THEN least(1.0, max(step) OVER (PARTITION BY experiment_id ORDER BY place)) END AS holm
               FROM (
                 SELECT *, (count(p) OVER (PARTITION BY experiment_id) - place + 1) * p AS step
                 FROM (
