@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, deque
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,14 +30,19 @@ FORMAT = "format"
 #: Shorter words than this are no candidates.
 LEAST_CANDIDATE = 12
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LEAST_CANDIDATE},}}")
-#: Credentials of each kind, and ordinary words, from which formats are learned;
-#: they come from the first documents by a hash of the id.
-FIT_DOCS, FIT_VALUES, FIT_LENGTH = 20_000, 1000, 80
+WORD = re.compile(r"[A-Za-z0-9+/_.=-]+")
+#: Credentials of each kind, and WORDS_EACH times as many long words and short ones,
+#: from which formats are learned; they come from the first documents by a hash of
+#: the id. Of longer values the first FIT_LENGTH characters are learned, and no end.
+FIT_DOCS, FIT_VALUES, WORDS_EACH, FIT_LENGTH = 20_000, 1000, 4, 80
 #: Confidence parameter of the state merging (smaller merges more).
 ALPHA = 0.05
-#: A candidate is reported from this likelihood ratio per character (natural
-#: logarithm) against ordinary words on.
-RATIO = 1.0
+#: A candidate is reported from a likelihood ratio per character (natural logarithm)
+#: against ordinary words on. That is set on values held out from the fit (see
+#: ``calibrated``) and is at least LEAST_RATIO, which holds where either side has too few.
+LEAST_RATIO, HELD_OUT = 0.5, 10
+#: What a false alarm costs there, in missed credentials (as shares of the two sides).
+FALSE_ALARM = 3
 #: A start of a value of at most so many characters is kept letter by letter if this
 #: share of a kind's examples, and so many at least, begin with it.
 LITERAL, LITERAL_SHARE, LITERAL_COUNT = 8, 0.05, 5
@@ -49,27 +56,26 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return [(BASE_KINDS[kind], start, end) for start, kind, end in sorted(found)]
 
 
-# A value's letters and digits stand for the smallest of these alphabets that
-# has them all; other characters stand for themselves.
-ALPHABETS = (
-    ("9", re.compile(r"[0-9]*")),
-    ("x", re.compile(r"[0-9a-f]*")),
-    ("X", re.compile(r"[0-9A-F]*")),
-    ("a", re.compile(r"[A-Z]?[a-z]*")),
-    ("l", re.compile(r"[0-9a-z]*")),
-    ("U", re.compile(r"[0-9A-Z]*")),
-    ("A", re.compile(r"[A-Za-z]*")),
-    ("M", re.compile(r"[0-9A-Za-z]*")),
-)
+# Symbols of a value: each character in its place as a small or capital vowel or
+# consonant, a digit, or itself.
 OTHERS = "+/_.=-"
-SYMBOLS = "".join(name for name, _ in ALPHABETS) + OTHERS
-WITHOUT_OTHERS = str.maketrans("", "", OTHERS)
+CLASSES = {"v": "aeiouy", "c": "bcdfghjklmnpqrstvwxz", "V": "AEIOUY", "C": "BCDFGHJKLMNPQRSTVWXZ", "9": "0123456789"}
+SYMBOLS = "".join(CLASSES) + OTHERS
+CLASS_OF = {c: name for name, characters in CLASSES.items() for c in characters} | {c: c for c in OTHERS}
+TO_SYMBOLS = str.maketrans({c: name for c, name in CLASS_OF.items() if c not in OTHERS})
+SEPARATOR = re.compile(r"([+/_.=-])")
 
 
 def symbols_of(value: str) -> str:
-    core = value.translate(WITHOUT_OTHERS)
-    name = next(name for name, characters in ALPHABETS if characters.fullmatch(core))
-    return "".join(c if c in OTHERS else name for c in value)
+    return value.translate(TO_SYMBOLS)
+
+
+def parts_of(value: str) -> tuple[list[str], str]:
+    """The symbols of a word's parts between separators, those of parts in capitals or with one
+    first as if they were small; and the separators."""
+    pieces = SEPARATOR.split(value)
+    parts = [w.lower() if w.isupper() or w[1:].islower() else w for w in pieces[::2]]
+    return [symbols_of(w) for w in parts], "".join(pieces[1::2])
 
 
 def literal(start: str) -> str:
@@ -90,8 +96,9 @@ def form(value: str, starts: list[str]) -> tuple[str, int]:
     return literal(start) + symbols_of(value)[len(start) :], len(start)
 
 
-#: One of so many letters and digits: what a literal symbol says beyond its class.
-OF_CLASS = math.log(36)
+def literal_gain(start: str) -> float:
+    """What literal symbols say beyond the classes of their characters."""
+    return sum(math.log(len(CLASSES.get(CLASS_OF[c], c))) for c in start)
 
 
 class Automaton:
@@ -100,17 +107,18 @@ class Automaton:
     States of the tree that is made of all examples are merged if their
     frequencies of ending and of going on with each symbol, and those of the
     states that follow, differ by no more than chance allows (the Hoeffding
-    bound; ALERGIA, Carrasco and Oncina, 1994).
+    bound; ALERGIA, Carrasco and Oncina, 1994). Of examples over ``longest`` symbols
+    the rest is not learned, nor an end.
     """
 
-    def __init__(self, examples: list[str], alpha: float = ALPHA):
+    def __init__(self, examples: list[str], alpha: float = ALPHA, longest: int = FIT_LENGTH):
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         self.to: list[dict[str, int]] = [{}]
         self.went: list[Counter] = [Counter()]
         self.ended: list[int] = [0]
         for example in examples:
             at = 0
-            for symbol in example:
+            for symbol in example[:longest]:
                 self.went[at][symbol] += 1
                 if symbol not in self.to[at]:
                     self.to[at][symbol] = len(self.to)
@@ -118,7 +126,7 @@ class Automaton:
                     self.went.append(Counter())
                     self.ended.append(0)
                 at = self.to[at][symbol]
-            self.ended[at] += 1
+            self.ended[at] += len(example) <= longest
         self._merge_states()
         self._score_table()
 
@@ -198,11 +206,27 @@ class Automaton:
         return total + self.logs[state][""]
 
 
+class Ordinary:
+    """Ordinary words: parts from an automaton, and after each a separator or the end."""
+
+    def __init__(self, words: list[str]):
+        cut = [parts_of(w) for w in words]
+        self.automaton = Automaton([part for parts, _ in cut for part in parts])
+        after = Counter(x for _, separators in cut for x in (*separators, ""))
+        whole = after.total() + len(OTHERS) + 1
+        self.after = {x: math.log((after[x] + 1) / whole) for x in (*OTHERS, "")}
+
+    def log_likelihood(self, value: str) -> float:
+        parts, separators = parts_of(value)
+        return sum(map(self.automaton.log_likelihood, parts)) + sum(self.after[x] for x in separators) + self.after[""]
+
+
 @dataclass(frozen=True)
 class Formats:
     secret: dict[str, Automaton]
-    ordinary: Automaton
+    ordinary: Ordinary
     starts: dict[str, list[str]]
+    least: float = LEAST_RATIO
 
     def ratio(self, value: str) -> float:
         """The best likelihood ratio per character of any credential format against ordinary words."""
@@ -213,54 +237,94 @@ class Formats:
         for kind, automaton in self.secret.items():
             own, n = form(value, self.starts.get(kind, []))
             if n:
-                best = max(best, automaton.log_likelihood(own) + n * OF_CLASS)
-        return (best - self.ordinary.log_likelihood(symbols)) / len(value)
+                best = max(best, automaton.log_likelihood(own) + literal_gain(value[:n]))
+        return (best - self.ordinary.log_likelihood(value)) / len(value)
+
+
+def calibrated(credentials: list[float], words: list[float]) -> float:
+    """The ratio with the least cost on held-out credentials and words: the share of
+    credentials below it, and FALSE_ALARM times that of words from it on; the middle
+    of the best gap. Words may hold credentials that bear no label, so none has to
+    be below."""
+    if min(len(credentials), len(words)) < HELD_OUT:
+        return LEAST_RATIO
+    at = sorted({*credentials, *words})
+    low, high = sorted(credentials), sorted(words)
+
+    def cost(t: float) -> float:
+        return bisect_left(low, t) / len(low) + FALSE_ALARM * (1 - bisect_left(high, t) / len(high))
+
+    gaps = [((a + b) / 2, b - a) for a, b in zip(at, at[1:])] + [(at[0], 0.0)]
+    return max(LEAST_RATIO, min(gaps, key=lambda g: (cost(g[0]), -g[1], g[0]))[0])
+
+
+class Covered:
+    """Spans by start; asked about words from left to right, each span is looked at once."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans, self.at, self.end = spans, 0, -1
+
+    def _reach(self, before: int) -> int:
+        """The furthest end of the spans that start before a place."""
+        while self.at < len(self.spans) and self.spans[self.at][0] < before:
+            self.end = max(self.end, self.spans[self.at][1])
+            self.at += 1
+        return self.end
+
+    def touch(self, start: int, end: int) -> bool:
+        return self._reach(end) > start
+
+    def hold(self, start: int, end: int) -> bool:
+        return self._reach(start + 1) >= end
 
 
 def _examples(batches):
-    """(kind, value) of credentials that the base patterns label, and of long ordinary words."""
+    """(kind, value) of credentials that the base patterns label, and of ordinary
+    words, long ones of kind "" and shorter ones of kind "word"."""
     for part in chunks(batches, 1024):
-        kinds, values = [], []
+        found = set()
         for text in part.column("text").to_pylist():
-            taken = []
-            for kind, start, end in base_spans(text or ""):
-                taken.append((start, end))
+            base = base_spans(text or "")
+            for kind, start, end in base:
                 value = text[start:end]
                 if kind == "assign":
                     value = ASSIGN.match(value).group(2)
-                kinds.append(kind)
-                values.append(value[:FIT_LENGTH])
-            for m in CANDIDATE.finditer(text or ""):
-                if not any(s < m.end() and m.start() < e for s, e in taken):
-                    kinds.append("")
-                    values.append(m.group()[:FIT_LENGTH])
+                found.add((kind, value[: FIT_LENGTH + 1]))
+            covered = Covered([(start, end) for _, start, end in base])
+            for m in WORD.finditer(text or ""):
+                if not covered.touch(m.start(), m.end()):
+                    found.add(("" if m.end() - m.start() >= LEAST_CANDIDATE else "word", m.group()[: FIT_LENGTH + 1]))
+        kinds, values = zip(*found) if found else ((), ())
         yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "value": pa.array(values, pa.string())})
 
 
 def learn_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS, fit_values: int = FIT_VALUES) -> Formats:
-    """Learn an automaton for each kind of credential, and one for ordinary long words.
+    """Learn an automaton for each kind of credential, and one for the parts of ordinary words.
 
     The examples are labelled by the base patterns in at most ``fit_docs``
     documents; of each kind at most ``fit_values`` different ones, the first by
-    hash, come to the driver. Long words of exactly a labelled credential's form
-    are not taken for ordinary ones.
+    hash, come to the driver, and WORDS_EACH times as many ordinary words of
+    LEAST_CANDIDATE characters and more, and of fewer. Half of the credentials and
+    long words (by a checksum) are held out to set the ratio from which a word is reported.
     """
     rows = picked(docs, id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
     ids = rows.select("id").filter("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(fit_docs)
     found = rows.join(F.broadcast(ids), "id", "left_semi").select("text").mapInArrow(_examples, "kind string, value string")
     found = written(found.distinct(), "secret-examples")
-    own: dict[str, list[str]] = {}
-    forms: dict[str, list[str]] = {}
-    starts: dict[str, list[str]] = {}
-    for kind in ("", *BASE_KINDS):
-        first = found.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(fit_values)
-        values = [r["value"] for r in first.select("value").collect()]
-        own[kind] = [symbols_of(v) for v in values]
-        if kind:
-            starts[kind] = literal_starts(values)
-            forms[kind] = [form(v, starts[kind])[0] for v in values]
-    labelled = {x for k in BASE_KINDS for x in own[k]}
-    return Formats({k: Automaton(forms[k]) for k in BASE_KINDS if own[k]}, Automaton([x for x in own[""] if x not in labelled]), starts)
+    fitted: dict[str, list[str]] = {}
+    held: dict[str, list[str]] = {}
+    for kind in ("", "word", *BASE_KINDS):
+        first = found.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value")
+        values = [r["value"] for r in first.select("value").limit(fit_values * (1 if kind in BASE_KINDS else WORDS_EACH)).collect()]
+        held[kind] = [v for v in values if kind != "word" and crc32(v.encode()) % 2]
+        fitted[kind] = [v for v in values if kind == "word" or not crc32(v.encode()) % 2]
+        if len(held[kind]) < HELD_OUT:  # too few to tell anything: all go into the fit
+            fitted[kind] = values
+    starts = {kind: literal_starts(fitted[kind]) for kind in BASE_KINDS}
+    secret = {kind: Automaton([form(v, starts[kind])[0] for v in fitted[kind]]) for kind in BASE_KINDS if fitted[kind]}
+    formats = Formats(secret, Ordinary(fitted[""] + fitted["word"]), starts)
+    credentials = [formats.ratio(v) for kind in BASE_KINDS for v in held[kind]]
+    return replace(formats, least=calibrated(credentials, [formats.ratio(v) for v in held[""]]))
 
 
 def all_spans(text: str, formats: Formats) -> list[tuple[str, int, int, float]]:
@@ -270,13 +334,13 @@ def all_spans(text: str, formats: Formats) -> list[tuple[str, int, int, float]]:
     for kind, start, end in base:
         value = text[start:end]
         found.append((start, BASE_KINDS.index(kind), end, kind, formats.ratio(ASSIGN.match(value).group(2) if kind == "assign" else value)))
+    covered = Covered([(start, end) for _, start, end in base])
     for m in CANDIDATE.finditer(text):
-        start, end, value = m.start(), m.end(), m.group()
-        if any(s <= start and end <= e for _, s, e in base):
+        if covered.hold(m.start(), m.end()):
             continue
-        ratio = formats.ratio(value)
-        if ratio >= RATIO:
-            found.append((start, len(BASE_KINDS), end, FORMAT, ratio))
+        ratio = formats.ratio(m.group())
+        if formats.secret and ratio >= formats.least:
+            found.append((m.start(), len(BASE_KINDS), m.end(), FORMAT, ratio))
     return [(kind, start, end, ratio) for start, _, end, kind, ratio in sorted(found)]
 
 

@@ -1,10 +1,25 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
-from churnlab.llm.secrets import Automaton, all_spans, base_spans, digest_columns, learn_formats, scanned, symbols_of
+from churnlab.llm.secrets import (
+    CANDIDATE,
+    FALSE_ALARM,
+    LEAST_RATIO,
+    Automaton,
+    Covered,
+    all_spans,
+    base_spans,
+    calibrated,
+    digest_columns,
+    learn_formats,
+    parts_of,
+    scanned,
+    symbols_of,
+)
 
 HEX40 = "3f" * 20
 WORDS = "password passwd secret token api_key apikey".split()
@@ -51,8 +66,42 @@ def test_automaton_learns_lengths_and_loops():
     assert loop.log_likelihood("a" * 12) > loop.log_likelihood("9" * 12) + 10
 
 
-def test_symbols():
-    assert [symbols_of(v) for v in ("2024-01", "3f3f", "AKIA7", "Haus", "a9z", "x.Y9")] == ["9999-99", "xxxx", "UUUUU", "aaaa", "lll", "M.MM"]
+def test_symbols_stand_in_place():
+    assert [symbols_of(v) for v in ("2024-01", "3f3a", "AKIA7", "Haus", "x.Y9")] == ["9999-99", "9c9v", "VCVV9", "Cvvc", "c.V9"]
+    assert parts_of("HAUS-Baum.aB_9") == (["cvvc", "cvvc", "vC", "9"], "-._")
+
+
+def test_values_beyond_the_fit_length_teach_no_end():
+    cut = Automaton(["9" * 81] * 50 + ["9" * 30] * 2)
+    assert cut.log_likelihood("9" * 81) > Automaton(["9" * 80] * 50 + ["9" * 30] * 2).log_likelihood("9" * 81)
+    assert sum(cut.ended) == 2
+
+
+def test_threshold_against_all_thresholds():
+    rng = random.Random(3)
+    for _ in range(50):
+        good = [round(rng.gauss(2.0, 0.7), 2) for _ in range(rng.randint(10, 40))]
+        words = [round(rng.gauss(-0.5, 0.7), 2) for _ in range(rng.randint(10, 40))]
+
+        def cost(t):
+            return sum(x < t for x in good) / len(good) + FALSE_ALARM * sum(x >= t for x in words) / len(words)
+
+        t = calibrated(good, words)
+        assert t >= LEAST_RATIO
+        best = min(cost(x + e) for x in (*good, *words) for e in (-1e-6, 0, 1e-6) if x + e >= LEAST_RATIO - 1)
+        assert t == LEAST_RATIO or cost(t) <= best + 1e-9
+    assert calibrated([2.0] * 9, [0.0] * 500) == LEAST_RATIO
+
+
+def test_covered_spans_against_all_spans():
+    rng = random.Random(8)
+    for _ in range(500):
+        spans = sorted((s, s + rng.randint(1, 9)) for s in (rng.randint(0, 60) for _ in range(rng.randint(0, 8))))
+        edges = sorted(rng.sample(range(70), 20))
+        words = list(zip(edges[::2], edges[1::2]))
+        touch, hold = Covered(spans), Covered(spans)
+        assert [touch.touch(*w) for w in words] == [any(s < w[1] and w[0] < e for s, e in spans) for w in words]
+        assert [hold.hold(*w) for w in words] == [any(s <= w[0] and w[1] <= e for s, e in spans) for w in words]
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +166,60 @@ def test_short_keys_without_digits_and_long_tokens_around_hex_are_scored(spark):
     assert found("internationally understandable") == []
     plain = "ghp_" + "b" * 28
     assert formats.ratio(plain) > formats.ratio("xyz_" + "b" * 28) + 0.3
+
+
+def _word(rng, syllables):
+    return "".join(rng.choice("bdfghklmnprstvw") + rng.choice("aeiou") + rng.choice(["", "n", "r", "s"]) for _ in range(syllables))
+
+
+def test_planted_secrets_and_ordinary_words(spark):
+    """Secrets without names are found; capitals, host names and numbered words are not."""
+    rng = random.Random(21)
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def key(n):
+        return "".join(rng.choice(mixed) for _ in range(n))
+
+    rows = []
+    for i in range(500):
+        words = [_word(rng, rng.randint(1, 7)) for _ in range(40)]
+        words[1], words[2], words[3] = words[1].upper(), words[2].capitalize(), f"{words[3]}.{rng.randint(1, 99)}"
+        words[4] = f"mail{rng.randint(0, 9)}.example.com"
+        words[5] = str(rng.randint(10**12, 10**16))
+        if i % 3 == 0:
+            words.insert(6, f"token={key(rng.choice([24, 32]))}")
+        rows.append((i, " ".join(words)))
+    formats = learn_formats(spark.createDataFrame(rows, "doc_id long, text string"))
+    planted = [key(n) for n in (16, 24, 32) for _ in range(200)]
+    ordinary = [w for w in (_word(rng, rng.randint(5, 9)) for _ in range(2000)) if len(w) >= 12]
+    ordinary += [w.upper() for w in ordinary[:300]] + [w.capitalize() for w in ordinary[:300]] + [f"{w}.{len(w)}" for w in ordinary[:300]]
+    ordinary += ["ABCDEFGHIJKLMNOP", "mail5.example.com", "www.example.org", "2024-01-31T00.00", "4466865973537603", "190.137.223.204"]
+
+    def is_found(word):
+        return ("format", 4, 4 + len(word)) in [s[:3] for s in all_spans(f"see {word} now", formats)]
+
+    assert sum(map(is_found, planted)) >= 0.95 * len(planted)
+    assert sum(map(is_found, ordinary)) <= 0.005 * len(ordinary)
+
+
+def test_format_spans_against_scoring_every_word(spark, corpus):
+    formats = learn_formats(corpus)
+    for r in scanned(corpus, formats).collect()[:100]:
+        text = next(d["text"] for d in corpus.filter(f"doc_id = {r['id']}").collect()) if r["spans"] else ""
+        base = plain_spans(text)
+        words = [m for m in CANDIDATE.finditer(text) if not any(s <= m.start() and m.end() <= e for _, s, e in base)]
+        plain = [(m.start(), m.end()) for m in words if formats.ratio(m.group()) >= formats.least]
+        assert [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "format"] == plain
+
+
+def test_very_long_texts_take_linear_time(corpus):
+    formats = learn_formats(corpus)
+    line = 'token = "abcdefghijk0123456789abcdefghijk0" mail0.example.com nonresponsibilitiesofall '
+    took = []
+    for n in (4_000, 32_000):
+        text = line * n
+        began = time.perf_counter()
+        spans = all_spans(text, formats)
+        took.append(time.perf_counter() - began)
+        assert sum(k == "assign" for k, *_ in spans) == n
+    assert took[1] < 30 * took[0]
