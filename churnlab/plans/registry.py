@@ -116,9 +116,10 @@ def _present_sources(s: Sources) -> DataFrame:
     """Every declared source: whether its folder of the load step is there, and its rows
     (null where it is missing)."""
     folder = _table_folder(s, "present")
-    stored = {n: f"{folder}/{n}" for n in ("users", "subscriptions")}
+    kept = {"users": s.users, "subscriptions": s.subscriptions}
+    stored = {n: f"{folder}/{n}" for n in kept}
     for n, path in stored.items():
-        write_table(s.tables()[n], path)
+        write_table(kept[n], path)
     paths = {n: stored.get(n, f"{folder}/{n}") for n in SOURCE_TABLES}
     there = set(paths) - set(missing(s.spark, paths))
     counts = load_audit({n: s.spark.read.parquet(paths[n]) for n in sorted(there)})

@@ -20,9 +20,10 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.functions.dates import add_days, add_days_ts, date_lit, day_diff
@@ -155,21 +156,20 @@ def lines_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """lineitem with its order's customer and the folded session date."""
     epoch = date_lit(SESSION_EPOCH)
     folded = add_days(epoch, day_diff(F.col("l_shipdate"), epoch) % SESSION_SPAN_DAYS)
-    o = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey"))
-    return lineitem.join(o, "l_orderkey", "inner").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line_id"),
-        F.col("o_custkey").alias("user_id"),
-        folded.alias("line_date"),
-        "l_partkey",
-        "l_quantity",
-        "l_discount",
-        "l_returnflag",
-    )
+    own = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag")
+    lines = lineitem.select(*own, folded.alias("line_date"))  # the day is less to shuffle than the time
+    o = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
+    return lines.join(o, "l_orderkey", "inner").select("user_id", "line_date", *own)
+
+
+def line_id() -> Column:
+    """A line's id; made where it is read, as its parts take less room in a table than the text."""
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def sessions_from(lines: DataFrame) -> DataFrame:
     return lines.select(
-        F.col("line_id").alias("session_id"),
+        line_id().alias("session_id"),
         "user_id",
         F.col("line_date").alias("session_date"),
         F.col("line_date").cast("timestamp_ntz").alias("session_start"),
@@ -181,9 +181,9 @@ def sessions_from(lines: DataFrame) -> DataFrame:
 def content_views_from(lines: DataFrame) -> DataFrame:
     pct = (F.col("l_discount") * 10).cast("decimal(4,2)")
     return lines.select(
-        F.col("line_id").alias("view_id"),
+        line_id().alias("view_id"),
         "user_id",
-        F.col("line_id").alias("session_id"),
+        line_id().alias("session_id"),
         F.col("l_partkey").alias("content_id"),
         F.col("line_date").alias("view_date"),
         pct.alias("watch_percentage"),
@@ -313,33 +313,69 @@ def load_fixture_sources(spark: SparkSession, sf_dir: str, settings: Settings =
 WRITTEN = ("users", "subscriptions", "events", "lines", "content_catalog", "experiment_assignments")
 
 
-def write_sources(src: Sources, folder: str) -> tuple[Sources, dict[str, float]]:
-    """Write the derived tables below ``folder`` and read them back, like loading
+def write_sources(src: Sources, folder: str, names: Iterable[str] = WRITTEN) -> tuple[Sources, dict[str, float]]:
+    """Write the named derived tables below ``folder`` and read them back, like loading
     raw files into warehouse tables before modelling; also the seconds that each
-    took. Rows are rebalanced, so files are of even size whatever the input's
-    were. Written assignments are derived from the written users."""
+    took. Rows are written where they are derived: splits of the input, or the
+    partitions of the join with orders, which AQE sizes and splits where a key is hot."""
     spark = src.spark
     done: dict[str, DataFrame] = {}
     seconds = {}
-    for name in WRITTEN:
+    for name in names:
         start = time.perf_counter()
         df = getattr(src, name)
-        df.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/{name}")
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}")
         done[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
         seconds[name] = round(time.perf_counter() - start, 3)
-    lines = done["lines"]
-    return replace(src, **done, sessions=sessions_from(lines), content_views=content_views_from(lines)), seconds
+    if "lines" in done:
+        done |= {"sessions": sessions_from(done["lines"]), "content_views": content_views_from(done["lines"])}
+    return replace(src, **done), seconds
 
 
-_LOADED: dict[tuple, Sources] = {}
+@dataclass
+class _Load:
+    """What an application has loaded of a folder: tables that are not in ``written``
+    are still derived from the test tables."""
 
+    sources: Sources
+    folder: str
+    written: set[str] = field(default_factory=set)
 
-def loaded_sources(spark: SparkSession, sf_dir: str, reload: bool = False) -> Sources:
-    """The sources of ``sf_dir`` as tables, written once for an application into the
-    shared folder (spark.checkpoint.dir): the load step of the queries. ``reload``
-    loads them anew, as after a change of the input files."""
+
+_LOADED: dict[tuple, _Load] = {}
+
+
+def _load(spark: SparkSession, sf_dir: str, reload: bool = False) -> _Load:
     key = (spark.sparkContext.applicationId, sf_dir)
     if reload or key not in _LOADED:
         folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/churnlab-tables/sources-{uuid.uuid4().hex}"
-        _LOADED[key], _ = write_sources(load_fixture_sources(spark, sf_dir), folder)
+        _LOADED[key] = _Load(load_fixture_sources(spark, sf_dir), folder)
     return _LOADED[key]
+
+
+def _write_missing(load: _Load, names: Iterable[str]) -> Sources:
+    if missing := [n for n in names if n not in load.written]:
+        load.sources, _ = write_sources(load.sources, load.folder, missing)
+        load.written |= set(missing)
+    return load.sources
+
+
+def loaded_sources(spark: SparkSession, sf_dir: str, reload: bool = False) -> Sources:
+    """The sources of ``sf_dir`` as tables, written once for an application into the
+    shared folder (spark.checkpoint.dir): the load step. ``reload``
+    loads them anew, as after a change of the input files."""
+    return _write_missing(_load(spark, sf_dir, reload), WRITTEN)
+
+
+class SourcesOnDemand(Sources):
+    """The tables of ``loaded_sources``, each loaded when it is first asked for, so that
+    a query waits for the tables that it reads and for no others."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._loading = _load(spark, sf_dir)
+
+    def __getattribute__(self, name: str):
+        if name not in Sources.__dataclass_fields__:
+            return super().__getattribute__(name)
+        table = "lines" if name in ("sessions", "content_views") else name
+        return getattr(_write_missing(self._loading, [table] if table in WRITTEN else []), name)

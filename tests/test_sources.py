@@ -59,3 +59,37 @@ def test_sources_are_loaded_anew_when_files_change(spark, tmp_path):
     pq.write_table(pq.read_table(f"{SF_SMALL}/events.parquet").slice(0, 10), tmp_path / "events.parquet")
     second = loaded_sources(spark, str(tmp_path), reload=True)
     assert (first.events.count(), second.events.count()) == (1000, 10)
+
+
+def test_a_query_loads_only_the_tables_it_reads(spark, tmp_path):
+    import shutil
+
+    from churnlab.plans.registry import QUERIES
+    from churnlab.sources.fixtures import TEST_TABLES, WRITTEN, SourcesOnDemand, _load, loaded_sources
+    from tests.conftest import SF_SMALL
+
+    for name in TEST_TABLES:
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
+    done = _load(spark, str(tmp_path)).written
+    for name, more in (("device_mix", {"lines"}), ("content_completion", {"content_catalog"}), ("stg_sessions", set()), ("csv_subscriptions_inferred", {"subscriptions"}), ("written_economics", {"users"})):
+        before = set(done)
+        assert QUERIES[name](SourcesOnDemand(spark, str(tmp_path))).count() > 0
+        assert done - before == more, name
+    whole = loaded_sources(spark, str(tmp_path))
+    assert done == set(WRITTEN) and loaded_sources(spark, str(tmp_path)) is whole
+
+
+def test_lines_are_shuffled_once_before_they_are_written(spark, monkeypatch, tmp_path):
+    from pyspark.sql import DataFrame
+
+    from churnlab.sources import fixtures
+    from tests.conftest import SF_SMALL
+
+    asked = []
+    hint = DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda self, name, *a: asked.append(name) or hint(self, name, *a))
+    src = fixtures.load_fixture_sources(spark, SF_SMALL)
+    out, seconds = fixtures.write_sources(src, str(tmp_path), ["lines"])
+    assert not asked and set(seconds) == {"lines"}
+    ids = lambda s: sorted(r[0] for r in s.sessions.select("session_id").collect())
+    assert ids(out) == ids(src) and ids(out)[0].count("-") == 3
