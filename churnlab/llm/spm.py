@@ -5,14 +5,16 @@ from __future__ import annotations
 import os
 import re
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +112,18 @@ def words_are_apart(model: Model) -> bool:
     return model.escape_whitespaces and USER_DEFINED not in kinds and not any(SPACE in p.lstrip(SPACE) for p, _, kind in model.pieces if kind == NORMAL)
 
 
+_words = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
+
+
+def cut_words(text: str) -> list[str]:
+    """A normalised text cut before each run of markers."""
+    if SPACE + SPACE in text:
+        return _words(text)
+    first, *others = text.split(SPACE)
+    words = [SPACE + w for w in others]
+    return [first, *words] if first else words
+
+
 def normaliser(model: Model):
     """The model's normalisation of a text, as a function on strings."""
     from tokenizers import normalizers
@@ -164,7 +178,9 @@ class Codec:
         self.model = parse_model(data)
         self.tokenizer = build_tokenizer(self.model)
         self.normalised = normaliser(self.model)
-        self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall if words_are_apart(self.model) else lambda text: [text] if text else []
+        self.cut = cut_words if words_are_apart(self.model) else lambda text: [text] if text else []
+        self.piece_texts = pa.array([p.replace(SPACE, " ") for p, _, _ in self.model.pieces], pa.string())
+        self.is_byte = np.array([re.fullmatch("<0x..>", p) is not None for p, _, _ in self.model.pieces])
         self.reference = None
         if parity:
             import sentencepiece
@@ -173,16 +189,18 @@ class Codec:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[str, int] = {}
+        self.slots: defaultdict[str, int] = defaultdict()
+        self.slots.default_factory = self.slots.__len__  # a new word takes the next slot
         self.ids, self.starts, self.differs = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
         self.texts: list[str] = []
 
     def _expected(self, words: list[str]) -> list[list[int]]:
-        """What the sentencepiece library makes of normalised words: a word that
-        stands inside a text has its marker from a space, not from the prefix."""
+        """What the sentencepiece library makes of normalised words with no marker but
+        the first: a word that stands inside a text has its marker from a space, not
+        from the prefix."""
         if not (self.model.escape_whitespaces and self.model.add_dummy_prefix):
             return self.reference.encode(words)
-        return self.reference.encode([w.removeprefix(SPACE).replace(SPACE, " ") for w in words])
+        return self.reference.encode([w.removeprefix(SPACE) for w in words])
 
     def _learn(self, words: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -195,30 +213,40 @@ class Codec:
             for i, ids in zip(plain, self._expected([words[i] for i in plain])):
                 if ids != found[i]:
                     found[i], differs[i] = ids, True
-        self.texts += self._decoded_words(words, found)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))])
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+        self.texts += self._decoded_words(words, ids, lengths)
+        self.ids = np.concatenate([self.ids, ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.differs = np.concatenate([self.differs, differs])
 
-    def _decoded_words(self, words: list[str], found: list[list[int]]) -> list[str]:
-        """Words decoded from their ids; the decoder takes a leading space for the prefix of a text."""
-        decoded = self.decode(found)
-        if self.model.add_dummy_prefix:
-            return [" " + d if w.startswith((SPACE, " ")) else d for w, d in zip(words, decoded)]
-        return decoded
+    def _decoded_words(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> list[str]:
+        """Words decoded from their ids: the texts of their pieces one after the other. The
+        tokenizer's decoder takes words with pieces that stand for bytes, and those whose
+        leading space is not in their pieces (it takes a leading space for a text's prefix)."""
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        pieces = self.piece_texts.take(pa.array(ids))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces), "")
+        byte_pieces = np.concatenate([[0], np.cumsum(self.is_byte[ids])])
+        rest = byte_pieces[ends[1:]] != byte_pieces[ends[:-1]]
+        marked = self.model.add_dummy_prefix
+        if marked:
+            spaced = np.fromiter((w.startswith((SPACE, " ")) for w in words), bool, len(words))
+            rest |= spaced != pc.starts_with(joined, " ").to_numpy(zero_copy_only=False)
+        texts, at = joined.to_pylist(), rest.nonzero()[0].tolist()
+        for i, text in zip(at, self.decode([ids[ends[i] : ends[i + 1]].tolist() for i in at])):
+            texts[i] = " " + text if marked and spaced[i] else text
+        return texts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """(ids of all texts, offsets of each text in them, whether its words
         agree with the library, the texts decoded from their ids)."""
         if len(self.slots) > self.KEEP_WORDS:
             self.forget()
-        slots, cut = self.slots, [self.cut(self.normalised(text)) for text in texts]
-        new = [w for w in set(chain.from_iterable(cut)) if w not in slots]
-        if new:
-            slots.update(zip(new, range(len(slots), len(slots) + len(new))))
+        known, cut = len(self.slots), [self.cut(self.normalised(text)) for text in texts]
+        at = list(map(self.slots.__getitem__, chain.from_iterable(cut)))
+        if new := list(islice(self.slots, known, None)):
             self._learn(new)
-        at = list(map(slots.__getitem__, chain.from_iterable(cut)))
         counts = list(map(len, cut))
         at, ends = np.array(at, np.int64), np.cumsum([0, *counts])
         first = self.starts[at]

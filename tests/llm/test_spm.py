@@ -98,3 +98,25 @@ def test_odd_rows(odd_docs, no_docs):
     assert encoded(no_docs).count() == 0
     again = decoded(encoded(odd_docs).select("ids")).collect()
     assert sorted(r["decoded"] for r in again) == texts
+
+
+def test_cut_words_at_each_run_of_markers():
+    from churnlab.llm.spm import SPACE, cut_words
+
+    for text in ("", "a", "▁", "▁a▁b", "a▁", "▁▁a▁▁▁b▁", "a▁▁b", "▁a b▁c"):
+        words = cut_words(text)
+        assert "".join(words) == text and all(words)
+        assert all(w.startswith(SPACE) for w in words[1:]) and not any(SPACE in w.lstrip(SPACE) for w in words)
+        assert not any(w.strip(SPACE) == "" for w in words[:-1])
+
+
+@needs_model
+def test_only_words_with_byte_pieces_take_the_decoder(monkeypatch):
+    with open(MODEL_FILE, "rb") as f:
+        codec = Codec(f.read())
+    taken, decode = [], codec.decode
+    monkeypatch.setattr(codec, "decode", lambda rows: taken.extend(rows) or decode(rows))
+    texts = ["the word the", "a 𝔘 word", "日 <0x0A>"]
+    *_, decoded = codec.encode(texts)
+    assert decoded == texts
+    assert 0 < len(taken) <= 2 and all(codec.is_byte[rows].any() for rows in taken)
