@@ -19,6 +19,7 @@ import hashlib
 import os
 import uuid
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -33,8 +34,8 @@ from churnlab.llm.common import mounted, picked, shared_folder, written
 
 #: Ends that a piece merges.
 PIECE = 1 << 16
-#: Bytes of text in a chunk.
-CHUNK_BYTES = 8 << 20
+#: Bytes of text in a chunk: a worker holds some sixty times as much while it aligns one.
+CHUNK_BYTES = 1 << 20
 #: Different id pairs that a task holds before it hands them on.
 HELD_PAIRS = 2_000_000
 #: An id pair as one number: A's id, then B's, of this many bits.
@@ -189,8 +190,15 @@ _CHUNK = [(n, pa.list_(pa.int64())) for n in ("n_a", "n_b", "n_groups", "n_links
 _CHUNK += [("groups_sha256", pa.list_(pa.string())), ("pairs", pa.binary()), ("places", pa.binary()), ("links", pa.binary()), ("documents", pa.binary())]
 
 
+@lru_cache(maxsize=1)
+def _aligner(path_a: str, path_b: str, changed: tuple[int, int]) -> Aligner:
+    """Kept by a worker from task to task: what is left of reading the files anew for
+    each task adds up."""
+    return Aligner(path_a, path_b)
+
+
 def _chunks(batches, path_a: str, path_b: str, schema: pa.Schema):
-    aligner = Aligner(path_a, path_b)
+    aligner = _aligner(path_a, path_b, (os.stat(path_a).st_mtime_ns, os.stat(path_b).st_mtime_ns))
     for batch in text_chunks(batches, size=CHUNK_BYTES):
         found = aligner.align(batch.column(batch.schema.get_field_index("text")))
         pairs, place = np.unique(found.link_pair, return_inverse=True)

@@ -1,8 +1,10 @@
 import hashlib
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -91,6 +93,32 @@ def test_no_documents(no_docs):
     assert alignment.aligned(no_docs, A, B).collect() == []
 
 
+def _chunk_rows(texts):
+    batch = pa.RecordBatch.from_pydict({"id": range(len(texts)), "text": texts})
+    return alignment._chunks([batch], A, B, pa.schema([("id", pa.list_(pa.int64())), *alignment._CHUNK]))
+
+
+def test_memory_of_a_task_does_not_grow_with_its_batch():
+    rng = np.random.default_rng(3)
+    words = np.array([f"word{i}" for i in range(2000)])
+    texts = [" ".join(rng.choice(words, 250)) for _ in range(3000)]  # 6 MB in one batch
+    next(_chunk_rows(["a"]))
+    tracemalloc.start()
+    rows = sum(len(row.column(0)[0]) for row in _chunk_rows(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts)
+    assert peak < 120e6
+
+
+def test_tasks_of_a_worker_read_the_tokenizers_once(monkeypatch):
+    read = []
+    monkeypatch.setattr(alignment, "ByteBpe", lambda *args, **more: read.append(args) or ByteBpe(*args, **more))
+    for _ in range(3):
+        assert sum(len(row.column(0)[0]) for row in _chunk_rows(["one", "two words"])) == 2
+    assert len(read) <= 1
+
+
 @pytest.mark.parametrize("piece", [1, 2, 3, 7, 1000])
 def test_pieces_are_independent_of_their_size(piece):
     rng = np.random.default_rng(piece)
