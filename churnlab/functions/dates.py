@@ -73,3 +73,10 @@ def month_series(lo: Column, hi: Column) -> Column:
     """
     lo_m, hi_m = month_start(lo), month_start(hi)
     return F.when(lo_m <= hi_m, F.sequence(lo_m, hi_m, F.expr("INTERVAL 1 MONTH")))
+
+
+def quarter_series(lo: Column, hi: Column) -> Column:
+    """Array of the starts of the quarters that the months ``lo`` to ``hi`` fall in;
+    null like ``month_series``."""
+    lo_q, hi_q = F.trunc(lo, "quarter"), F.trunc(hi, "quarter")
+    return F.when(lo <= hi, F.sequence(lo_q, hi_q, F.expr("INTERVAL 3 MONTHS")))

@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlab.functions.dates import as_date, date_lit, month_series, month_start
+from churnlab.functions.dates import as_date, date_lit, month_series, month_start, quarter_series
 
 def stage_flags(
     entities: DataFrame,
@@ -150,6 +150,7 @@ def active_months(
     as_of,
     cap=None,
     out_col: str = "active_month",
+    dealt: bool = False,
 ) -> DataFrame:
     """One row per month a span is active, both ends inclusive.
 
@@ -157,11 +158,20 @@ def active_months(
     (or of ``as_of`` while still open), cut at ``cap`` when given. A narrow
     per-row generate: no join, no shuffle. Reversed or null bounds give no
     row (a start after the cap, or an end before the start).
+
+    With ``dealt`` the rows come rebalanced by quarter, for a table that is written
+    by month: a span is shuffled once for each quarter, its months are made after
+    that. (Longer parts would be shuffled less, but a task's rows are sorted before
+    they are written, and would grow more after the shuffle that sizes the tasks.)
     """
     lo = month_start(start_col)
     hi = month_start(F.coalesce(as_date(end_col), date_lit(as_of)))
     if cap is not None:
         hi = F.least(hi, month_start(date_lit(cap)))
+    if dealt:
+        df = df.select("*", F.explode(quarter_series(lo, hi)).alias(out_col)).hint("rebalance", out_col)
+        lo, hi = F.greatest(lo, F.col(out_col)), F.least(hi, F.add_months(out_col, 2))
+        return df.withColumn(out_col, F.explode(month_series(lo, hi)))
     return df.select("*", F.explode(month_series(lo, hi)).alias(out_col))
 
 

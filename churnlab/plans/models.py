@@ -287,6 +287,7 @@ def mart_economics(
     channel_cac: DataFrame,
     settings: Settings,
     cap="settings",
+    dealt: bool = False,
 ) -> DataFrame:
     """Paid subscription x active month with MRR, CAC and tenure in months.
 
@@ -294,11 +295,12 @@ def mart_economics(
     cap. Equal to the reference's range join against a global month spine:
     the spine starts at the earliest start month (never cuts a row's lower
     end) and its top is the larger of all end months capped, so only the cap
-    binds - which the per-row series applies directly.
+    binds - which the per-row series applies directly. ``dealt``: rebalanced for a
+    table by month (``active_months``).
     """
     cap = settings.cap if cap == "settings" else cap
     ps = paid_subscriptions(subscriptions, users, plans, channel_cac)
-    months = active_months(ps, "started_at", "ended_at", settings.as_of, cap)
+    months = active_months(ps, "started_at", "ended_at", settings.as_of, cap, dealt=dealt)
     return months.select(
         "subscription_id",
         "user_id",

@@ -33,6 +33,8 @@ MART_PARTITIONS: dict[str, tuple[str, ...]] = {
     "mart_economics": ("active_month",),
     "mart_experiments": (),
 }
+# Marts whose rows come rebalanced by month.
+MART_DEALT = ("mart_economics",)
 
 
 @dataclass
@@ -52,7 +54,7 @@ def build_marts(s: Sources, user_days: DataFrame) -> dict[str, DataFrame]:
     return {
         "mart_acquisition": M.mart_acquisition(s.users, s.events, s.subscriptions, s.plans, s.channel_cac, week),
         "mart_engagement": user_days.drop(*M.FIRST_DAYS),
-        "mart_economics": M.mart_economics(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings),
+        "mart_economics": M.mart_economics(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings, dealt=True),
         "mart_experiments": M.mart_experiments(s.experiment_assignments, s.experiments, outcomes, week),
     }
 
@@ -86,8 +88,8 @@ def build_metrics(s: Sources, marts: Mapping[str, DataFrame], user_days: DataFra
     }
 
 
-def _published(df: DataFrame, path: str, fmt: str, partition_by=()) -> DataFrame:
-    publish_table(df, path, fmt=fmt, partition_by=partition_by)
+def _published(df: DataFrame, path: str, fmt: str, partition_by=(), dealt: bool = False) -> DataFrame:
+    publish_table(df, path, fmt=fmt, partition_by=partition_by, dealt=dealt)
     return read_published(df.sparkSession, path)
 
 
@@ -113,7 +115,7 @@ def run_pipeline(
     register_views(staging)
 
     def materialise(name: str, df: DataFrame) -> DataFrame:
-        return _published(df, os.path.join(output_dir, name), fmt, MART_PARTITIONS[name])
+        return _published(df, os.path.join(output_dir, name), fmt, MART_PARTITIONS[name], name in MART_DEALT)
 
     # User-days first: the engagement mart is a view of them, and retention and
     # the active-user metrics read them.

@@ -49,8 +49,8 @@ def _days(s: Sources) -> DataFrame:
     return M.user_days(s.users, s.sessions, s.settings.week_start)
 
 
-def _eco(s: Sources, cap="settings") -> DataFrame:
-    return M.mart_economics(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings, cap)
+def _eco(s: Sources, cap="settings", dealt: bool = False) -> DataFrame:
+    return M.mart_economics(s.subscriptions, s.users, s.plans, s.channel_cac, s.settings, cap, dealt)
 
 
 def _outcomes(s: Sources) -> DataFrame:
@@ -130,7 +130,7 @@ def _present_sources(s: Sources) -> DataFrame:
 def _written_economics(s: Sources) -> DataFrame:
     """The economics mart as a published table by month."""
     path = _table_folder(s, "mart_economics")
-    publish_table(_eco(s), path, partition_by=["active_month"])
+    publish_table(_eco(s, dealt=True), path, partition_by=["active_month"], dealt=True)
     return read_published(s.spark, path)
 
 

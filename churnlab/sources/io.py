@@ -93,6 +93,7 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Iterable[str] | None = None,
     header: bool = True,
+    dealt: bool = False,
 ) -> None:
     """Materialise ``df`` whole, replacing what was there (idempotent rebuild).
 
@@ -100,10 +101,10 @@ def write_table(
     parquet is the default sink. Monthly grains
     pass ``partition_by`` so later reads prune by month; rows are then rebalanced
     by those columns first, so that a month is written by few tasks (a large
-    one is split) and not by all.
+    one is split) and not by all; with ``dealt`` they are so already.
     """
     partition_by = list(partition_by or ())
-    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
+    writer = (df.hint("rebalance", *partition_by) if partition_by and not dealt else df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":

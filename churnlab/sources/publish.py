@@ -53,12 +53,13 @@ def _swap(spark: SparkSession, path: str, run: str, schema: str, fmt: str) -> No
     spark.createDataFrame(line, MANIFEST).coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/manifest")
 
 
-def publish_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Iterable[str] | None = None) -> str:
+def publish_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Iterable[str] | None = None, dealt: bool = False) -> str:
     """Write ``df`` as a new version of the table at ``path`` and publish it; returns the
-    version's folder. ``df`` may read the version that it replaces."""
+    version's folder. ``df`` may read the version that it replaces. ``dealt``: see
+    ``write_table``."""
     spark, run = df.sparkSession, uuid.uuid4().hex
     folder = f"{path.rstrip('/')}/versions/{run}"
-    write_table(df, folder, fmt=fmt, partition_by=partition_by)
+    write_table(df, folder, fmt=fmt, partition_by=partition_by, dealt=dealt)
     _swap(spark, path, run, df.schema.json(), fmt)
     return folder
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from churnlab.operators import (
@@ -115,6 +116,16 @@ def test_active_months_edges(spark):
     assert u[5] == [D(2024, 1, 1), D(2024, 2, 1), D(2024, 3, 1)]
 
 
+@pytest.mark.parametrize("cap", [None, D(2024, 11, 1)])
+def test_dealt_months_are_the_same_rows(spark, cap):
+    spans = [(D(2023, m, 28), D(2024, n, 3)) for m in range(1, 13) for n in (1, 2, 6, 11, 12)]
+    spans += [(D(2024, 2, 1), D(2024, 1, 31)), (D(2024, 2, 1), None), (None, D(2024, 2, 1)), (D(2025, 2, 1), None), (D(2024, 5, 1), D(2024, 5, 1))]
+    df = spark.createDataFrame([(i, s, e) for i, (s, e) in enumerate(spans + spans)], "id int, s date, e date")
+    plain, dealt = (active_months(df, "s", "e", as_of=D(2024, 12, 15), cap=cap, dealt=d) for d in (False, True))
+    assert dealt.schema == plain.schema and plain.count() > 500
+    assert sorted(map(tuple, dealt.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
 def test_anti_orphans(spark):
     parent = spark.createDataFrame([(1,), (2,)], "user_id bigint")
     child = spark.createDataFrame([(10, 1), (11, 3), (12, None)], "sid bigint, user_id bigint")

@@ -4,8 +4,11 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from churnlab.plans import registry
 from churnlab.sources import publish
+from churnlab.sources.fixtures import SourcesOnDemand
 from churnlab.sources.publish import NotPublishedError, publish_table, read_published, versions
+from tests.conftest import SF_SMALL
 
 
 def test_a_run_that_fails_leaves_the_old_version(spark, tmp_path, monkeypatch):
@@ -54,3 +57,20 @@ def test_empty_table_and_runs_at_the_same_time(spark, tmp_path):
         line = [(latest["version"] + 1, run, latest["schema"], "parquet")]
         spark.createDataFrame(line, publish.MANIFEST).write.mode("append").json(f"{path}/manifest")
     assert read_published(spark, path).count() == 6
+
+
+def test_economics_by_month_shuffles_no_row_for_each_month(spark, monkeypatch):
+    plans = []
+
+    def write(df, folder, dealt=False, **more):
+        plans.append((df if dealt else df.hint("rebalance", *more["partition_by"]))._jdf.queryExecution().optimizedPlan().toString())
+        write_table(df, folder, dealt=dealt, **more)
+
+    write_table = publish.write_table
+    monkeypatch.setattr(publish, "write_table", write)
+    rows = registry.QUERIES["written_economics"](SourcesOnDemand(spark, SF_SMALL))
+    assert rows.count() == registry.QUERIES["mart_economics"](SourcesOnDemand(spark, SF_SMALL)).count()
+    # The months are made above the one shuffle of the write.
+    (plan,) = plans
+    assert plan.count("RebalancePartitions") == 1
+    assert "Generate" in plan[: plan.index("RebalancePartitions")]
