@@ -18,11 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import chunks, picked
+from churnlab.llm.bpe import text_chunks
+from churnlab.llm.common import picked
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
-BATCH_TEXTS = 512
+#: Bytes of texts encoded at a time (a longer text alone).
+BATCH_BYTES = 250_000
 
 # Fixed values of the model file's format: piece types, model types, the marker
 # that stands for a space.
@@ -271,7 +273,7 @@ def _codec(data: bytes, threads: int, parity: bool) -> Codec:
 
 def _worker(batches, data: bytes, threads: int, parity: bool, schema: pa.Schema):
     codec = _codec(data, threads, parity)
-    for part in chunks(batches, BATCH_TEXTS):
+    for part in text_chunks(batches, size=BATCH_BYTES):
         texts = [t or "" for t in part.column("text").to_pylist()]
         ids, offsets, agrees, decoded = codec.encode(texts)
         yield pa.RecordBatch.from_arrays(

@@ -120,3 +120,21 @@ def test_only_words_with_byte_pieces_take_the_decoder(monkeypatch):
     *_, decoded = codec.encode(texts)
     assert decoded == texts
     assert 0 < len(taken) <= 2 and all(codec.is_byte[rows].any() for rows in taken)
+
+
+@needs_model
+def test_long_texts_are_encoded_few_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    from churnlab.llm import spm
+
+    texts = [f"{i} " + "word " * 4000 for i in range(60)] + ["long " * 80_000, None, "", "end"]
+    sizes, encode = [], Codec.encode
+    monkeypatch.setattr(Codec, "encode", lambda self, own: sizes.append(len(own) > 1 and sum(map(len, own))) or encode(self, own))
+    with open(MODEL_FILE, "rb") as f:
+        data = f.read()
+    schema = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string()), ("round_trip", pa.bool_()), ("parity", pa.bool_())])
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    rows = [r for part in spm._worker([batch], data, 2, True, schema) for r in part.to_pylist()]
+    assert [r["decoded"] for r in rows] == [t or "" for t in texts] and [r["id"] for r in rows] == list(range(len(texts)))
+    assert len(sizes) > 4 and max(sizes) <= 400_000
