@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from churnlab.llm import quality
 from churnlab.llm.arrays import sorted_arrays
 from churnlab.llm.common import written
-from churnlab.llm.quality import AGAIN, END, START, UNKNOWN, Spelling, Tokens, fit, hashed, perplexity, quality_kept, quality_scores, sample, shape, text_hashes, uncovered
+from churnlab.llm.quality import AGAIN, END, START, UNKNOWN, Spelling, StoredSpelling, Tokens, fit, hashed, perplexity, quality_kept, quality_scores, sample, shape, text_hashes, uncovered
 from tests.llm.brute import KneserNey
 
 SF = "/root/testdata/sf0.01"
@@ -24,6 +24,8 @@ def tables(spark):
 def test_shapes():
     assert [shape(w) for w in ("Haus,", "THE!!", "a1b2", "|", "")] == ["Aa,", "A!", "a0a0", "|", ""]
     assert shape("aAaAaAaAaA\n\n") == "aAaAaAaA" and shape("\n\n²x") == "\n0a"
+    words = ["Haus,", "haus", "THE!!", "a1b2", "|", "||", "ÖÖ²\xa0\xa0x", "\U00010348\U00010348", "aAaAaAaAaA"]
+    assert quality.shapes_of(words) == [shape(w) for w in words]
 
 
 def test_hashes_are_those_of_spark(spark):
@@ -237,3 +239,54 @@ def test_languages_share_the_room_for_words(monkeypatch):
         grams += sum(out.column("n").to_pylist())
         assert sum(len(t.slots) for t in met) <= 150 + 100
     assert len(met) == 6 and grams == 2 * 12 * 101
+
+
+def test_all_trusted_texts_are_fitted(spark, monkeypatch):
+    """More texts of a language, and longer ones, than a sample would hold; equal rows once."""
+    rows = [(i, f"word{i % 70} of text {i}", "xx") for i in range(5000)] + [(5000 + i, f"long{i} " * 3000, "xx") for i in range(20)]
+    docs = spark.createDataFrame(rows + rows[:300], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int")
+    fitted = []
+
+    def watched(chosen, *args):
+        fitted.extend(chosen.select("id", F.length("text")).collect())
+        return fit(chosen, *args)
+
+    monkeypatch.setattr(quality, "fit", watched)
+    assert quality_scores(docs, labels).count() == len(rows) + 300
+    want = docs.distinct().filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).select("doc_id", F.length("text")).collect()
+    assert sorted(map(tuple, fitted)) == sorted(map(tuple, want))
+    assert len(want) > 2300 and max(n for _, n in want) > 10_000
+
+
+def test_long_and_late_texts_teach_the_model_their_words(spark):
+    rows = [(i, "one two three", "xx") for i in range(2500)] + [(9000, "four five six " * 1000, "xx")]
+    model = fit(sample(spark.createDataFrame(rows, "id long, text string, lang string")))
+    known = [int(n) for n in Tokens(model.known, "xx").read(["one four six"])[0][0][2:-1]]
+    assert known == text_hashes([b"one", b"four", b"six"]).tolist()
+
+
+def test_shards_and_parts_of_tasks_change_nothing(spark, tables, monkeypatch):
+    docs, labels = tables
+    rows = docs.join(labels.filter("quality = 1"), "doc_id").filter("lang in ('de', 'es')").select(F.col("doc_id").alias("id"), "text", "lang").limit(60)
+    rows = spark.createDataFrame(rows.collect(), rows.schema).repartition(5)
+    one = {r["id"]: r for r in perplexity(rows, fit(rows)).collect()}
+    monkeypatch.setattr(quality, "SHARD_WORDS", 1500)
+    monkeypatch.setattr(quality, "FLUSH", 700)
+    model = fit(rows)
+    assert all(len(t.parts) > 5 for t in (*model.grams.values(), *model.contexts.values()))
+    for r in perplexity(rows, model).collect():
+        for name in ("log_p", "log_shapes", "log_spelling", "n_tokens"):
+            assert r[name] == pytest.approx(one[r["id"]][name], rel=1e-12)
+
+
+def test_stored_spellings_are_those_of_the_rarer_words(spark):
+    words = ["Hauses", "x2y", "öde", "haus", "haus"]
+    rows = [(1, " ".join([*words, *["dog"] * 3]), "xx"), (2, "other words", "yy")]
+    model = fit(spark.createDataFrame(rows, "id long, text string, lang string"))
+    grams, of = Spelling.grams(words[:4])
+    plain = Spelling(grams, np.array([1, 1, 1, 2])[of])
+    asked = ["Hauses", "dog", "zz", "X7", "\U00010348"]
+    assert StoredSpelling(model.known, "xx").log_p(asked) == pytest.approx(plain.log_p(asked))
+    nothing = Spelling(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert StoredSpelling(model.known, "zz").log_p(asked) == pytest.approx(nothing.log_p(asked))
