@@ -7,22 +7,24 @@ pair can reach it by those alone. Scores are accumulated over the index dimensio
 by dimension; pairs whose partial score and remaining norms stay under the
 anchor's threshold are dropped, the others are completed. Each round of joins is
 a Spark job over the anchors whose windows are not filled yet, with lower
-thresholds than the one before.
+thresholds than the one before: these are written once to the shared folder, and
+every block's task reads them there. No table is broadcast.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from churnlab.llm.common import picked, written
+from churnlab.llm.common import mounted, picked, shared_folder, written
 from churnlab.operators.core import union_all
 
-#: Vectors and anchors in a block.
-VECTORS, ANCHORS = 8192, 512
+#: Vectors and anchors in a block, and blocks of vectors in a file.
+VECTORS, ANCHORS, BLOCKS = 8192, 512, 8
 #: Pairs whose scores are completed at a time.
 PAIRS = 1 << 16
 #: Dimensions that are accumulated between two prunings.
@@ -140,9 +142,15 @@ def _long(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<i8")
 
 
-def _components(row: dict, prefix: str = "") -> np.ndarray:
-    n = row[f"{prefix}n"]
-    return np.frombuffer(row[f"{prefix}vectors"], f"<i{row[f'{prefix}wide']}").reshape(n, -1).astype(np.int64)
+def _components(row: dict) -> np.ndarray:
+    return np.frombuffer(row["vectors"], f"<i{row['wide']}").reshape(row["n"], -1).astype(np.int64)
+
+
+def _rows(batches):
+    """Rows of Arrow batches, one at a time in memory."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
 def _top(groups: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -156,25 +164,22 @@ def _top(groups: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.
 FOUND = pa.schema([("key", pa.int64()), ("window", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
 
 
-def _joined(batches, same: bool, k: int):
-    """For each window of each anchor its first ``k`` vectors in a block. Rows hold a
-    block of vectors (n, ids, ...) and one of windows (a_n, a_ids, ..., a_low, a_high):
-    vectors of the anchor's label (``same``) or of others, and of another id."""
-    last: tuple | None = None
-    for batch in batches:
-        for row in batch.to_pylist():
-            if last is None or last[0] != row["block"]:
-                vectors = _components(row)
-                last = (row["block"], vectors, Index(vectors), _long(row["ids"]), _long(row["labels"]))
-            _, vectors, index, ids, labels = last
-            key, window, low, high = (_long(row[f"a_{c}"]) for c in ("key", "window", "low", "high"))
+def _joined(batches, sets: list[str], same: bool, k: int):
+    """For each window of each anchor its first ``k`` vectors in a block, for rows of
+    blocks of vectors (n, ids, ...): of the anchor's label (``same``) or of others, and
+    of another id. ``sets`` are files of blocks of windows (n, ids, ..., low, high)."""
+    for block in _rows(batches):
+        vectors = _components(block)
+        index, ids, labels = Index(vectors), _long(block["ids"]), _long(block["labels"])
+        for row in (row for path in sets for row in _rows(pq.ParquetFile(path).iter_batches(16))):
+            key, window, low, high = (_long(row[c]) for c in ("key", "window", "low", "high"))
             # The windows of one anchor stand together: it is joined once, at the lowest threshold.
             anchor, of = np.unique(key, return_inverse=True)
             first = np.searchsorted(of, np.arange(len(anchor)))
-            anchors = _components(row, "a_")[first]
+            anchors = _components(row)[first]
             least = np.full(len(anchor), 1 << 62, np.int64)
             np.minimum.at(least, of, low)
-            label, own = _long(row["a_labels"])[first], _long(row["a_ids"])[first]
+            label, own = _long(row["labels"])[first], _long(row["ids"])[first]
             allowed = (label[:, None] == labels) == same
             allowed &= own[:, None] != ids
             a, v = index.candidates(anchors, least, allowed)
@@ -192,24 +197,23 @@ def _joined(batches, same: bool, k: int):
             yield pa.RecordBatch.from_arrays(arrays, schema=FOUND)
 
 
-def _join(blocks: DataFrame, n_blocks: int, windows: DataFrame, n_sets: int, dims: int, same: bool, k: int) -> DataFrame:
+def _join(blocks: DataFrame, windows: DataFrame, n_sets: int, dims: int, same: bool, k: int) -> DataFrame:
     """One threshold join: the first ``k`` vectors of every window (key, window, id,
     label, v, at, high), in rows (key, window, id, score, rank).
 
-    Windows are packed into sets, and a copy of every set is dealt to each number of
-    a block, an equi-join. At most ``k`` rows of a block come out for a window."""
+    Windows are packed into sets, which are written once; the task of a block reads
+    all sets, so neither is copied. At most ``k`` rows of a block come out for a window."""
     from pyspark.sql.pandas.types import from_arrow_schema
 
     near = windows.withColumn("low", F.col("at")).coalesce(n_sets).sortWithinPartitions("key", "window")
-    sets = packed(near, dims, ANCHORS, ["key", "window", "low", "high"])
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks, 1) - 1)).cast("array<long>"))
-    sets = sets.select(*[F.col(c).alias(f"a_{c}") for c in sets.columns], numbers.alias("number"))
-    found = blocks.join(sets, "number").mapInArrow(lambda batches: _joined(batches, same, k), from_arrow_schema(FOUND))
+    stored = written(packed(near, dims, ANCHORS, ["key", "window", "low", "high"]), "negatives-sets")
+    sets = sorted(mounted(path) for path in stored.inputFiles())
+    found = blocks.mapInArrow(lambda batches: _joined(batches, sets, same, k), from_arrow_schema(FOUND))
     order = Window.partitionBy("key", "window").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _rounds(blocks: DataFrame, n_blocks: int, dims: int, windows: DataFrame, n_windows: int, thresholds: list[Column], same: bool, k: int, name: str) -> DataFrame:
+def _rounds(blocks: DataFrame, dims: int, windows: DataFrame, n_windows: int, thresholds: list[Column], same: bool, k: int, name: str) -> DataFrame:
     """The first ``k`` vectors of every window [low, high], found by joins with the
     given thresholds, each lower than the one before and the last one at most the
     window's low end. A window is filled when ``k`` vectors reach the threshold: none
@@ -218,13 +222,13 @@ def _rounds(blocks: DataFrame, n_blocks: int, dims: int, windows: DataFrame, n_w
     done, open_ = [], windows
     for step, threshold in enumerate(thresholds):
         now = open_.withColumn("at", F.greatest("low", threshold))
-        found = written(_join(blocks, n_blocks, now, n_sets, dims, same, k), f"negatives-{name}")
+        found = written(_join(blocks, now, n_sets, dims, same, k), f"negatives-{name}")
         if step == len(thresholds) - 1:
             done.append(found)
             break
         counts = found.groupBy("key", "window").agg(F.count(F.lit(1)).alias("n"))
-        state = now.join(counts, ["key", "window"], "left").withColumn("closed", (F.coalesce("n", F.lit(0)) == k) | (F.col("at") <= F.col("low")))
-        done.append(found.join(state.filter("closed").select("key", "window"), ["key", "window"], "left_semi"))
+        state = now.join(counts.hint("merge"), ["key", "window"], "left").withColumn("closed", (F.coalesce("n", F.lit(0)) == k) | (F.col("at") <= F.col("low")))
+        done.append(found.join(state.filter("closed").select("key", "window").hint("merge"), ["key", "window"], "left_semi"))
         open_ = written(state.filter("not closed").drop("at", "n", "closed"), f"negatives-{name}-open")
         if open_.isEmpty():
             break
@@ -260,32 +264,33 @@ def hard_negatives(
     Rows with a null id, label or vector, or a component that is null or not finite, take
     no part. Vectors shorter than the longest count as filled up with zeros. Repeated rows
     take part as often as they occur: as anchors, positives and negatives. Scores must fit
-    a long. No rows give no rows.
+    a long. No rows give no rows. The shared folder has to be mounted on every machine.
     """
     own = picked(rows, id=id_col, label=label_col, vector=vector_col)
     own = own.select(F.col("id").cast("long").alias("id"), F.col("label").cast("long").alias("label"), scaled("vector", factor).alias("v"))
     own = own.filter("id is not null and label is not null and v is not null")
-    # Numbers of rows and blocks have to stay what they are: both are written.
+    # Numbers of rows have to stay what they are: they are written.
     own = written(own.withColumn("key", F.monotonically_increasing_id()), "negatives-rows")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     dims, longest, n_anchors = own.agg(F.max(F.size("v")), F.max(norm), F.count_if(is_anchor)).first()
     dims, longest = max(1, dims or 0), longest or 0.0
-    blocks = written(packed(own, dims, VECTORS).withColumn("block", F.monotonically_increasing_id()), "negatives-blocks")
-    n_blocks = blocks.count()
-    blocks = blocks.withColumn("number", F.pmod(F.xxhash64("block"), F.lit(max(n_blocks, 1))))
+    # Small files, so that Spark can deal few blocks to a task.
+    folder = shared_folder(rows.sparkSession, "negatives-blocks")
+    packed(own, dims, VECTORS).write.option("maxRecordsPerFile", BLOCKS).parquet(folder)
+    blocks = rows.sparkSession.read.parquet(folder)
 
     anchors = own.filter(is_anchor)
     windows = anchors.select("key", F.lit(0).cast("long").alias("window"), "id", "label", "v", F.lit(LOWEST).alias("low"), F.lit(-LOWEST).alias("high"))
     steps = [F.lit(LOWEST) if s is None else F.floor(norm * longest * s) for s in POSITIVE_STEPS]
-    near = _rounds(blocks, n_blocks, dims, windows, n_anchors, steps, True, positives, "positives")
+    near = _rounds(blocks, dims, windows, n_anchors, steps, True, positives, "positives")
     near = written(near.select("key", F.col("rank").cast("long").alias("window"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")), "negatives-near")
 
     score = F.col("positive_score")
     ends = [F.ceil(_per_cent(score, low)).cast("long").alias("low"), F.floor(_per_cent(score, high)).cast("long").alias("high")]
     bounds = near.select("key", "window", *ends).filter("low <= high")
-    windows = anchors.select("key", "id", "label", "v").join(bounds, "key")
+    windows = anchors.select("key", "id", "label", "v").join(bounds.hint("merge"), "key")
     steps = [F.col("high") - F.floor((F.col("high") - F.col("low")) * s).cast("long") for s in NEGATIVE_STEPS]
-    far = _rounds(blocks, n_blocks, dims, windows, n_anchors * positives, steps, False, negatives, "negatives")
+    far = _rounds(blocks, dims, windows, n_anchors * positives, steps, False, negatives, "negatives")
     far = far.select("key", "window", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
-    found = far.join(near, ["key", "window"]).join(anchors.select("key", F.col("id").alias("anchor_id")), "key")
+    found = far.join(near.hint("merge"), ["key", "window"]).join(anchors.select("key", F.col("id").alias("anchor_id")).hint("merge"), "key")
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

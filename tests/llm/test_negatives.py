@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnlab.llm import negatives
+from churnlab.llm.common import written
 from churnlab.llm.oracle import ORACLE
 from churnlab.llm.registry import op12_hard_negatives
 from tests.conftest import SF_SMALL
@@ -81,6 +82,27 @@ def test_no_rows(spark):
     assert mined(spark, [(3, [1.0], 1)]) == []
 
 
+def test_nothing_is_broadcast_or_copied_for_each_block(spark, monkeypatch):
+    """Not even small tables: the windows left after a round, once for each block, are not small."""
+    plans, sets = [], {}
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        if name == "negatives-sets":
+            sets[len(sets)] = df.selectExpr("sum(n)").first()[0] or 0
+        return written(df, name)
+
+    monkeypatch.setattr(negatives, "written", watched)
+    monkeypatch.setattr(negatives, "VECTORS", 4)
+    rows = vectors(150, 8, 3, 5)
+    frame = spark.createDataFrame(rows, KIND).repartition(2)
+    found = negatives.hard_negatives(frame, F.col("id") % 3 == 0)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sorted(tuple(r) for r in found.collect()) == plain(rows)
+    assert not [p for p in plans if "Broadcast" in p]
+    assert len(sets) >= 4 and max(sets.values()) <= 50 * 5
+
+
 def test_index_never_loses_a_pair_and_leaves_dimensions_out():
     rng = np.random.default_rng(4)
     vectors_ = np.floor(rng.normal(size=(300, 40)) * np.geomspace(100, 1, 40)).astype(np.int64)
